@@ -209,16 +209,24 @@ def damaged_messages(spark, sf_dir, name) -> DataFrame:
     log = shop_log(spark, sf_dir, name)
     value = F.col("value")
 
-    def damage(every, broken):
-        return F.when(key % every == 0, broken).otherwise(value)
+    def where(every, pattern):
+        # a pattern that never matches where the key asks for no damage
+        return F.when(key % every == 0, F.lit(pattern)).otherwise(F.lit("\n"))
 
-    named = F.lit(f'"table_name":"{name}"')
+    def but_last(text):
+        return F.char_length(text) - F.when(key % 31 == 0, 5).otherwise(0)
+
+    broken = F.replace(value, where(17, '"status":"'), F.lit('"status":"X'))
+    broken = F.replace(
+        broken, where(19, f'"table_name":"{name}"'), F.lit('"table_name":null')
+    )
+    broken = F.regexp_replace(
+        broken, where(23, '"hash":"[0-9a-f]*"'), F.lit('"hash":null')
+    )
     return (
         seal_records(log, spec, PRODUCED_AT, message=identity)
-        .withColumn("value", damage(17, F.replace(value, F.lit('"status":"'), F.lit('"status":"X'))))
-        .withColumn("value", damage(19, F.replace(value, named, F.lit('"table_name":null'))))
-        .withColumn("value", damage(23, F.regexp_replace(value, '"hash":"[0-9a-f]*"', '"hash":null')))
-        .withColumn("value", damage(31, value.substr(F.lit(1), F.char_length(value) - 5)))
+        .withColumn("value", broken)
+        .withColumn("value", value.substr(F.lit(1), but_last(value)))
         .select(
             value.cast("binary").alias("value"),
             F.timestamp_millis(1704067200000 + key).alias("timestamp"),

@@ -7,7 +7,7 @@ from message text; both stay inside the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH = "hash"
@@ -20,16 +20,27 @@ def canonical_json(columns: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
 
 
-def parse_record(text: Column) -> Column:
-    """Top-level fields as a map of variants; NULL unless ``text`` is one object.
+def with_record(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """Adds the top-level fields of a JSON object as a map of variants.
 
-    The reader stops at the end of the first value. Placed inside an outer object
-    that has one more field after it, a record with anything behind it loses that
-    field or fails to parse.
+    The map is NULL unless ``text`` is one JSON object and nothing else. The
+    reader stops at the end of the first value, so the record is read as a member
+    of an outer object that has one more field behind it: a record with anything
+    after it loses that field or fails to parse.
     """
     outer = F.concat(F.lit('{"record":'), text, F.lit(',"end":0}'))
     parsed = F.from_json(outer, "record map<string,variant>, end int", _STRICT)
-    return F.when(parsed.getField("end") == 0, parsed.getField("record"))
+    whole = F.when(F.col("_outer.end") == 0, F.col("_outer.record"))
+    return computed_once(df, "_outer", parsed).select(*df.columns, whole.alias(name))
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is evaluated once per row, however often it is used.
+
+    A plain projection is inlined wherever it is referenced, filters above it
+    included; the optimizer does not move expressions through a generator.
+    """
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
 
 
 def record_json(fields: Column) -> Column:
@@ -47,12 +58,12 @@ def _quoted(key: Column) -> Column:
 
 def field_json(fields: Column, key) -> Column:
     """JSON text of one field; a missing field and JSON null both read null."""
-    return F.coalesce(F.to_json(fields.getItem(key)), F.lit("null"))
+    return F.coalesce(F.to_json(fields[key]), F.lit("null"))
 
 
 def field_text(fields: Column, key: str) -> Column:
     """Scalar field as text, NULL if it is missing, null or not a scalar."""
-    return F.try_variant_get(fields.getItem(key), "$", "string")
+    return F.try_variant_get(fields[key], "$", "string")
 
 
 def sha256(text: Column) -> Column:

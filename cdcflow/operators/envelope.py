@@ -9,12 +9,13 @@ from pyspark.sql import types as T
 from cdcflow.functions.canonical import (
     HASH,
     canonical_json,
+    computed_once,
     field_json,
     field_text,
-    parse_record,
     record_json,
     sha256,
     spaced_json_sha256,
+    with_record,
 )
 from cdcflow.functions.times import time_text
 from cdcflow.specs import TableSpec, wire_type
@@ -117,41 +118,43 @@ def verify_records(messages: DataFrame, style: str = CANONICAL) -> DataFrame:
     before any projection to a schema.
     """
     text = F.col("value").cast("string")
-    parsed = messages.withColumn("_fields", parse_record(text))
+    parsed = with_record(messages, text, "_fields")
     fields = F.col("_fields")
-    received = F.coalesce(field_text(fields, HASH), field_json(fields, HASH))
-    identity = field_text(fields, "message_id")
+    identity = F.coalesce(field_text(fields, "message_id"), F.lit(UNKNOWN))
     early = (
         F.when(fields.isNull(), MALFORMED)
         .when(_absent(fields, HASH), NO_HASH)
         .when(_absent(fields, "table_name"), NO_TABLE)
-        .when(F.coalesce(identity, F.lit(UNKNOWN)) == UNKNOWN, NO_ID)
+        .when(identity == UNKNOWN, NO_ID)
     )
-    digest = sha256(record_json(fields))
-    if style == SPACED:
-        digest = spaced_json_sha256(text)
-    checked = parsed.select(
-        *messages.columns,
-        F.coalesce(identity, F.lit(UNKNOWN)).alias("message_id"),
-        early.alias("_early"),
-        received.alias("_received"),
-        F.when(early.isNull(), digest).alias("_computed"),
+    received = F.coalesce(field_text(fields, HASH), field_json(fields, HASH))
+    if style == CANONICAL:
+        digest = sha256(record_json(fields))
+    else:
+        parsed = parsed.withColumn("_spaced", spaced_json_sha256(text))
+        digest = F.col("_spaced")
+    checks = F.struct(
+        identity.alias("message_id"),
+        early.alias("early"),
+        received.alias("received"),
+        digest.alias("computed"),
     )
+    checked = computed_once(parsed, "_checks", checks)
     mismatch = F.when(
-        ~F.col("_received").eqNullSafe(F.col("_computed")),
+        ~F.col("_checks.received").eqNullSafe(F.col("_checks.computed")),
         F.concat(
             F.lit("Hash mismatch (received: "),
-            "_received",
+            "_checks.received",
             F.lit(", computed: "),
-            F.coalesce("_computed", F.lit("none")),
+            F.coalesce("_checks.computed", F.lit("none")),
             F.lit(")"),
         ),
     )
-    reason = F.coalesce(F.col("_early"), mismatch)
+    reason = F.coalesce(F.col("_checks.early"), mismatch)
     return checked.select(
         *messages.columns,
         reason.isNull().alias("is_valid"),
-        "message_id",
+        F.col("_checks.message_id").alias("message_id"),
         reason.alias("error_reason"),
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +21,14 @@ def sealed_changes(
     at: Callable[[TableSpec], Column],
     log_id: Callable[[TableSpec], Column],
     produced_at: str,
-) -> DataFrame:
-    """Messages for every row that differs between two sets of snapshots."""
-    messages = []
+) -> dict[str, DataFrame]:
+    """Per table, messages for every row that differs between two snapshots."""
+    messages = {}
     for name, spec in specs.items():
         changes = snapshot_diff(before[name], after[name], [spec.key])
         log = after_image_log(changes, at(spec), log_id(spec))
-        messages.append(seal_records(log, spec, produced_at).select("value"))
-    return reduce(DataFrame.unionAll, messages)
+        messages[name] = seal_records(log, spec, produced_at).select("value")
+    return messages
 
 
 def from_wire(rows: DataFrame, spec: TableSpec, keep=()) -> DataFrame:
@@ -40,15 +39,21 @@ def from_wire(rows: DataFrame, spec: TableSpec, keep=()) -> DataFrame:
 
 
 def apply_messages(
-    targets: dict[str, DataFrame], messages: DataFrame, specs: dict[str, TableSpec]
+    targets: dict[str, DataFrame],
+    messages: dict[str, DataFrame],
+    specs: dict[str, TableSpec],
 ) -> dict[str, DataFrame]:
-    """Targets after the valid changes among the messages."""
-    valid = valid_records(verify_records(messages))
-    parsed = parse_envelopes(valid, wide_schema(specs.values()))
-    routed = route_by_table(parsed, specs, exclude=())
+    """Targets after the valid changes among their messages.
+
+    Each table has its own messages: one target then costs no verifying and
+    parsing of other tables' changes.
+    """
     synced = {}
     for name, spec in specs.items():
-        changes = from_wire(routed[name], spec, ("status", *LOG_POSITION))
+        valid = valid_records(verify_records(messages[name]))
+        parsed = parse_envelopes(valid, wide_schema([spec]))
+        routed = route_by_table(parsed, [name], exclude=())[name]
+        changes = from_wire(routed, spec, ("status", *LOG_POSITION))
         applied = apply_changes(
             targets[name], changes, keys=[spec.key], deletes="remove"
         )

@@ -5,17 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from cdcflow.operators.apply import LOG_POSITION
-from cdcflow.operators.envelope import CANONICAL, split_records, verify_records
-from cdcflow.operators.routing import (
-    cdc_docs,
-    parse_envelopes,
-    route_by_table,
-    unrouted,
-)
+from cdcflow.operators.envelope import CANONICAL, dead_letters, verify_records
+from cdcflow.operators.routing import cdc_docs, route_by_table, unrouted
 from cdcflow.sources.sinks import document_sink, write_documents
 from cdcflow.specs import EXCLUDED_FROM_DOCUMENTS, FEED_TABLES, TableSpec, wide_schema
 
@@ -53,19 +49,23 @@ def batch_outputs(
 ) -> dict[str, DataFrame]:
     """Collections one set of messages gives, dead letters and unrouted included.
 
-    No step shuffles. ``hold`` marks the verified messages, which all outputs
-    read, for reuse.
+    No step shuffles. ``hold`` marks the checked messages, which all outputs
+    read, for reuse: each message is verified and parsed once.
     """
-    verified = hold(verify_records(messages, style))
-    valid, dead = split_records(verified)
-    parsed = parse_envelopes(valid, wide_schema(specs.values()))
+    verified = verify_records(messages, style)
+    schema = wide_schema(specs.values())
+    record = F.from_json(F.col("value").cast("string"), schema)
+    checked = hold(
+        verified.withColumn("_record", F.when(F.col("is_valid"), record))
+    )
+    parsed = checked.filter("is_valid").select("_record.*")
     routed = route_by_table(parsed, specs, tuple(exclude))
     outputs = {
         table: cdc_docs(table, rows, LOG_POSITION, specs)
         for table, rows in routed.items()
     }
     outputs[UNROUTED] = unrouted(parsed, specs, tuple(exclude))
-    outputs[DEAD_LETTERS] = dead
+    outputs[DEAD_LETTERS] = dead_letters(checked)
     return outputs
 
 
