@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcflow.functions.canonical import computed_once
 from cdcflow.specs import CASCADE, NOW, SET_NULL, DocumentRule, TableSpec, load_order
 
 
@@ -172,51 +173,64 @@ def schema_violations(
     null differ: only the former breaks ``required``. Text that is no JSON object
     breaks the rule on ``$``.
     """
-    parsed = docs.select(F.try_parse_json(json).alias("_doc"))
-    root = json_type(F.col("_doc"))
-    checks = [
-        _violation(
-            rule, json_type(F.try_variant_get("_doc", f"$.{rule.path}", "variant"))
-        )
-        for rule in rules
-    ]
-    found = F.when(
-        root.eqNullSafe(F.lit("object")), F.array_compact(F.array(*checks))
-    ).otherwise(
-        F.array(_finding("$", F.coalesce(root, F.lit("unparsable")), "type"))
+    text = F.ltrim(F.col(json), F.lit(" \t\r\n"))
+    parsed = computed_once(docs.select(json), "_doc", F.try_parse_json(json)).select(
+        F.try_variant_get("_doc", "$._id", "string").alias("_id"),
+        (F.col("_doc").isNotNull() & text.startswith("{")).alias("_readable"),
+        F.when(F.col("_doc").isNull(), "unparsable")
+        .when(~text.startswith("{"), json_type(F.schema_of_variant("_doc")))
+        .alias("_root"),
+        "_doc",
     )
-    return parsed.select(
-        F.try_variant_get("_doc", "$._id", "string").alias("_id"), F.inline(found)
+    # one row per rule: what is found is looked up once and then only compared
+    looked_up = F.inline(F.array(*[_lookup(i, r) for i, r in enumerate(rules)]))
+    found = parsed.select("_id", "_readable", "_root", looked_up)
+    kind = F.col("_kind")
+    plain = F.substring_index(F.substring_index(kind, "<", 1), "(", 1)
+    missing = F.col("_required") & kind.isNull()
+    wrong = ~F.array_contains("_allowed", plain)
+    broken = F.when(F.col("_readable"), missing | wrong).otherwise(F.col("_number") == 0)
+    return found.filter(broken).select(
+        "_id",
+        F.when(F.col("_readable"), F.col("path")).otherwise("$").alias("path"),
+        F.when(~F.col("_readable"), F.col("_root"))
+        .when(kind.isNull(), "missing")
+        .otherwise(json_type(kind))
+        .alias("found_type"),
+        F.when(F.col("_readable") & kind.isNull(), "required")
+        .otherwise("type")
+        .alias("rule"),
     )
 
 
-def json_type(variant):
-    """JSON type name of a variant; NULL for no value at all."""
-    kind = F.schema_of_variant(variant)
-    return (
-        F.when(kind == "VOID", "null")
-        .when(kind == "BIGINT", "int")
-        .when(kind == "STRING", "string")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind.startswith("OBJECT<"), "object")
-        .when(kind.startswith("ARRAY<"), "array")
-        .when(kind.isNotNull(), "double")
-    )
+# JSON type names and the names variant schemas give them.
+_KINDS = {
+    "null": ("VOID",),
+    "int": ("BIGINT",),
+    "string": ("STRING",),
+    "bool": ("BOOLEAN",),
+    "object": ("OBJECT",),
+    "array": ("ARRAY",),
+    "double": ("DOUBLE", "DECIMAL", "FLOAT"),
+}
 
 
-def _finding(path, found_type, rule):
+def _lookup(number: int, rule: DocumentRule):
+    value = F.try_variant_get("_doc", f"$.{rule.path}", "variant")
+    allowed = [F.lit(kind) for t in rule.types for kind in _KINDS[t]]
     return F.struct(
-        F.lit(path).alias("path"),
-        found_type.alias("found_type"),
-        F.lit(rule).alias("rule"),
+        F.lit(number).alias("_number"),
+        F.lit(rule.path).alias("path"),
+        F.schema_of_variant(value).alias("_kind"),
+        F.array(*allowed).alias("_allowed"),
+        F.lit(rule.required).alias("_required"),
     )
 
 
-def _violation(rule: DocumentRule, found):
-    absent = found.isNull()
-    wrong = ~found.isin(*rule.types)
-    check = F.when(wrong, _finding(rule.path, found, "type"))
-    if rule.required:
-        missing = _finding(rule.path, F.lit("missing"), "required")
-        check = F.when(absent, missing).otherwise(check)
-    return check
+def json_type(kind):
+    """JSON type name of a variant's schema; NULL for no value at all."""
+    names = F.lit(None)
+    for name, kinds in _KINDS.items():
+        for known in kinds:
+            names = F.when(kind.startswith(known), name).otherwise(names)
+    return names
