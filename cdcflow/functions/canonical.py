@@ -20,18 +20,20 @@ def canonical_json(columns: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
 
 
-def with_record(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """Adds the top-level fields of a JSON object as a map of variants.
+def with_fields(df: DataFrame, text: Column, names, into: str) -> DataFrame:
+    """Adds the named top-level fields of a JSON object as a struct of variants.
 
-    The map is NULL unless ``text`` is one JSON object and nothing else. The
+    The struct is NULL unless ``text`` is one JSON object and nothing else. The
     reader stops at the end of the first value, so the record is read as a member
     of an outer object that has one more field behind it: a record with anything
     after it loses that field or fails to parse.
     """
     outer = F.concat(F.lit('{"record":'), text, F.lit(',"end":0}'))
-    parsed = F.from_json(outer, "record map<string,variant>, end int", _STRICT)
+    listed = ", ".join(f"{name}: variant" for name in names)
+    schema = f"record struct<{listed}>, end int"
+    parsed = computed_once(df, "_outer", F.from_json(outer, schema, _STRICT))
     whole = F.when(F.col("_outer.end") == 0, F.col("_outer.record"))
-    return computed_once(df, "_outer", parsed).select(*df.columns, whole.alias(name))
+    return parsed.select(*df.columns, whole.alias(into))
 
 
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -43,27 +45,50 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*df.columns, F.explode(F.array(value)).alias(name))
 
 
-def record_json(fields: Column) -> Column:
-    """Canonical JSON of a parsed record, its hash left out."""
-    keys = F.array_sort(F.filter(F.map_keys(fields), lambda k: k != HASH))
-    members = F.transform(
-        keys, lambda k: F.concat(_quoted(k), F.lit(":"), field_json(fields, k))
-    )
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+def covered_sha256(text: Column) -> Column:
+    """SHA-256 of a sealed message's text up to the hash that closes it."""
+    cut = F.char_length(text) - _SEAL_LENGTH
+    return sha256(F.concat(text.substr(F.lit(1), cut), F.lit("}")))
+
+
+def is_sealed_by(text: Column, digest: Column) -> Column:
+    return text.endswith(seal_text(digest))
+
+
+def rewritten_sha256(text: Column) -> Column:
+    """SHA-256 of a record after parsing it and bringing it to canonical form."""
+    fields = F.from_json(text, "map<string,variant>", _STRICT)
+    # bound by the lambda, the record is parsed once
+    return F.transform(F.array(fields), lambda f: sha256(record_json(f)))[0]
+
 
+def seal_text(digest: Column) -> Column:
+    """How the hash closes a sealed message."""
+    return F.concat(F.lit(f',"{HASH}":"'), digest, F.lit('"}'))
 
-def _quoted(key: Column) -> Column:
-    return F.to_json(key.cast("variant"))
+
+_SEAL_LENGTH = len(f',"{HASH}":"') + 64 + len('"}')
+
+
+def record_json(fields: Column) -> Column:
+    """Canonical JSON of a map of variants, its hash left out.
+
+    NULL if a key occurs twice: such a record has no canonical form.
+    """
+    keys = F.sort_array(F.filter(F.map_keys(fields), lambda k: k != HASH))
+    unique = F.size(F.array_distinct(keys)) == F.size(keys)
+    ordered = F.map_from_arrays(keys, F.transform(keys, lambda k: fields[k]))
+    return F.when(unique, F.to_json(ordered, {"ignoreNullFields": "false"}))
 
 
-def field_json(fields: Column, key) -> Column:
-    """JSON text of one field; a missing field and JSON null both read null."""
-    return F.coalesce(F.to_json(fields[key]), F.lit("null"))
+def field_json(field: Column) -> Column:
+    """JSON text of a variant; a missing field and JSON null both read null."""
+    return F.coalesce(F.to_json(field), F.lit("null"))
 
 
-def field_text(fields: Column, key: str) -> Column:
-    """Scalar field as text, NULL if it is missing, null or not a scalar."""
-    return F.try_variant_get(fields[key], "$", "string")
+def field_text(field: Column) -> Column:
+    """Scalar variant as text, NULL if it is missing, null or not a scalar."""
+    return F.try_variant_get(field, "$", "string")
 
 
 def sha256(text: Column) -> Column:

@@ -11,11 +11,14 @@ from cdcflow.functions.canonical import (
     canonical_json,
     computed_once,
     field_json,
+    covered_sha256,
     field_text,
-    record_json,
+    is_sealed_by,
+    rewritten_sha256,
+    seal_text,
     sha256,
     spaced_json_sha256,
-    with_record,
+    with_fields,
 )
 from cdcflow.functions.times import time_text
 from cdcflow.specs import TableSpec, wire_type
@@ -102,12 +105,8 @@ def seal_records(
     digest = sha256(text) if style == CANONICAL else spaced_json_sha256(text)
     record = record.withColumn(HASH, digest)
     # the hash joins the text it was taken from; nothing is encoded twice
-    value = F.concat(
-        text.substr(F.lit(1), F.char_length(text) - 1),
-        F.lit(',"hash":"'),
-        F.col(HASH),
-        F.lit('"}'),
-    )
+    opened = text.substr(F.lit(1), F.char_length(text) - 1)
+    value = F.concat(opened, seal_text(F.col(HASH)))
     return record.select(*fields, HASH, value.alias("value"))
 
 
@@ -118,28 +117,46 @@ def verify_records(messages: DataFrame, style: str = CANONICAL) -> DataFrame:
     before any projection to a schema.
     """
     text = F.col("value").cast("string")
-    parsed = with_record(messages, text, "_fields")
+    parsed = with_fields(messages, text, (HASH, "table_name", "message_id"), "_fields")
     fields = F.col("_fields")
-    identity = F.coalesce(field_text(fields, "message_id"), F.lit(UNKNOWN))
+    received, table, identity = fields[HASH], fields["table_name"], fields["message_id"]
+    identity = F.coalesce(field_text(identity), F.lit(UNKNOWN))
     early = (
         F.when(fields.isNull(), MALFORMED)
-        .when(_absent(fields, HASH), NO_HASH)
-        .when(_absent(fields, "table_name"), NO_TABLE)
+        .when(field_json(received).isin(*_EMPTY), NO_HASH)
+        .when(field_json(table).isin(*_EMPTY), NO_TABLE)
         .when(identity == UNKNOWN, NO_ID)
     )
-    received = F.coalesce(field_text(fields, HASH), field_json(fields, HASH))
+    parsed = parsed.select(
+        *messages.columns,
+        identity.alias("_identity"),
+        early.alias("_early"),
+        F.coalesce(field_text(received), field_json(received)).alias("_received"),
+        covered_sha256(text).alias("_covered"),
+    )
+    # A message as sealed here is the canonical text with the hash as its last
+    # member: hashing its bytes is enough. Any other text, say with members
+    # reordered on the way, is brought to canonical form first.
     if style == CANONICAL:
-        digest = sha256(record_json(fields))
+        covered = F.col("_covered")
+        digest = (
+            F.when(F.col("_early").isNotNull(), F.lit(None))
+            .when(is_sealed_by(text, covered), covered)
+            .otherwise(rewritten_sha256(text))
+        )
     else:
-        parsed = parsed.withColumn("_spaced", spaced_json_sha256(text))
-        digest = F.col("_spaced")
-    checks = F.struct(
-        identity.alias("message_id"),
-        early.alias("early"),
-        received.alias("received"),
-        digest.alias("computed"),
+        digest = spaced_json_sha256(text)
+    parsed = parsed.withColumn("_computed", digest)
+    checked = computed_once(
+        parsed.drop("_covered"),
+        "_checks",
+        F.struct(
+            F.col("_identity").alias("message_id"),
+            F.col("_early").alias("early"),
+            F.col("_received").alias("received"),
+            F.col("_computed").alias("computed"),
+        ),
     )
-    checked = computed_once(parsed, "_checks", checks)
     mismatch = F.when(
         ~F.col("_checks.received").eqNullSafe(F.col("_checks.computed")),
         F.concat(
@@ -159,10 +176,6 @@ def verify_records(messages: DataFrame, style: str = CANONICAL) -> DataFrame:
     )
 
 
-def _absent(fields: Column, key: str) -> Column:
-    return field_json(fields, key).isin(*_EMPTY)
-
-
 def valid_records(verified: DataFrame) -> DataFrame:
     """Valid messages as they came, hash included."""
     return verified.filter("is_valid").drop("is_valid", "message_id", "error_reason")
