@@ -7,6 +7,7 @@ from message text; both stay inside the JVM.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,8 +102,6 @@ def spaced_json_sha256(text: Column) -> Column:
     Needed only to exchange records with producers that hash that form: its
     ``\\u`` escapes and number texts have no built-in expression.
     """
-    import pandas as pd
-
     @F.pandas_udf("string")
     def digest(texts: pd.Series) -> pd.Series:
         import hashlib

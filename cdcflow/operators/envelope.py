@@ -10,8 +10,8 @@ from cdcflow.functions.canonical import (
     HASH,
     canonical_json,
     computed_once,
-    field_json,
     covered_sha256,
+    field_json,
     field_text,
     is_sealed_by,
     rewritten_sha256,
