@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions.dedup import keep_first
+from cdcflow.functions.joins import splittable
 from cdcflow.functions.times import parse_feed_time
 from cdcflow.operators.entities import fork_target, orgs_dim, users_dim
 
@@ -41,9 +42,7 @@ def repo_docs(raw: DataFrame) -> DataFrame:
         ["fork_id"],
         ["_event_time", "_event_number", "_event"],
     ).select("fork_id", F.struct("id", "login", "type").alias("owner"))
-    # Own shuffle stage for the owners: adaptive execution splits a hot fork id
-    # only when both join inputs are plain shuffle reads, not an aggregate.
-    owners = owners.filter(F.col("owner.id").isNotNull()).repartition("fork_id")
+    owners = splittable(owners.filter(F.col("owner.id").isNotNull()), "fork_id")
     return forks.join(owners, forks.repo_id == owners.fork_id).select(
         F.col("repo_id").alias("_id"),
         "name",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.functions.canonical import computed_once
+from cdcflow.functions.joins import splittable
 from cdcflow.specs import CASCADE, NOW, SET_NULL, DocumentRule, TableSpec, load_order
 
 
@@ -94,7 +95,7 @@ def fill_defaults(df: DataFrame, spec: TableSpec, now) -> DataFrame:
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose key names no parent; a NULL key names none and is fine."""
-    parents = parent.select(F.col(pk).alias("_parent"))
+    parents = _parents(parent.select(pk))
     keyed = child.filter(F.col(fk).isNotNull())
     return keyed.join(parents, F.col(fk) == F.col("_parent"), "left_anti")
 
@@ -113,10 +114,8 @@ def cascade_removed(child: DataFrame, fk: str, deleted_keys: DataFrame) -> DataF
 
 def cascade_set_null(child: DataFrame, fk: str, deleted_keys: DataFrame) -> DataFrame:
     """Child rows with the key emptied where its parent goes."""
-    # Distinct, so that no child row doubles. The repartition gives the keys a
-    # shuffle stage of their own: adaptive execution can then split a parent
-    # that holds a large share of the children (see documents.repo_docs).
-    gone = _parents(deleted_keys).distinct().repartition("_parent")
+    # distinct, so that no child row doubles
+    gone = splittable(_parents(deleted_keys).distinct(), "_parent")
     kept = F.when(F.col("_parent").isNull(), F.col(fk)).alias(fk)
     return child.join(gone, F.col(fk) == F.col("_parent"), "left").select(
         *[kept if c == fk else F.col(c) for c in child.columns]
@@ -124,7 +123,8 @@ def cascade_set_null(child: DataFrame, fk: str, deleted_keys: DataFrame) -> Data
 
 
 def _parents(deleted_keys: DataFrame) -> DataFrame:
-    return deleted_keys.select(F.col(deleted_keys.columns[0]).alias("_parent"))
+    keys = deleted_keys.select(F.col(deleted_keys.columns[0]).alias("_parent"))
+    return splittable(keys, "_parent")
 
 
 def cascade(
