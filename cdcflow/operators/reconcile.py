@@ -25,29 +25,52 @@ def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def missing_rows(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source rows the target lacks, as often as it lacks them."""
-    return source.exceptAll(target.select(*source.columns))
+    """Source rows the target lacks, as often as it lacks them (multiset).
+
+    Copies of a row travel as one row with a count. They are multiplied out at
+    the end in portions, spread over the tasks: a row with very many copies is
+    not written out by the one task that counted it.
+    """
+    columns = source.columns
+    surplus = F.col("_s") - F.col("_t")
+    lacking = _row_counts(source, target).filter(surplus > 0)
+    portions = F.sequence(F.lit(0), F.expr(f"(_s - _t - 1) div {_PORTION}"))
+    # a given number of tasks is kept, where a size-based one would see few bytes
+    tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = lacking.select(
+        *columns, surplus.alias("_copies"), F.explode(portions).alias("_portion")
+    ).repartition(tasks, *columns, "_portion")
+    left = F.col("_copies") - F.col("_portion") * _PORTION
+    copies = F.sequence(F.lit(1), F.least(left, F.lit(_PORTION)).cast("int"))
+    return spread.select(*columns, F.explode(copies).alias("_copy")).drop("_copy")
+
+
+_PORTION = 1024  # copies of one row a task multiplies out
 
 
 def unexpected_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """Target rows the source lacks, as often as it lacks them."""
-    return target.select(*source.columns).exceptAll(source)
+    return missing_rows(target.select(*source.columns), source)
 
 
-def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Counts and content in one pass: equal counts alone prove nothing.
-
-    Both sides are grouped by whole row; the surplus of either side per distinct
-    row is what ``missing_rows`` and ``unexpected_rows`` would list.
-    """
+def _row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Distinct rows of both sides with their copies in each (``_s``, ``_t``)."""
     columns = source.columns
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     sides = source.select(*columns, one.alias("_s"), none.alias("_t")).unionByName(
         target.select(*columns, none.alias("_s"), one.alias("_t"))
     )
-    per_row = sides.groupBy(*columns).agg(
-        F.sum("_s").alias("_s"), F.sum("_t").alias("_t")
-    )
+    return sides.groupBy(*columns).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
+
+
+def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Counts and content in one pass: equal counts alone prove nothing.
+
+    Both sides are grouped by whole row; the surplus of either side per distinct
+    row is what ``missing_rows`` and ``unexpected_rows`` list.
+    """
+    per_row = _row_counts(source, target)
+    none = F.lit(0).cast("bigint")
 
     def total(value):
         return F.coalesce(F.sum(value), none)

@@ -4,6 +4,7 @@ import pytest
 from cdcflow.operators import integrity, reconcile
 from cdcflow.specs import CASCADE, DOCUMENT_RULES, FEED_TABLES, SET_NULL, ForeignKey, TableSpec
 from cdcflow.specs import Column as Field
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONG = T.LongType()
@@ -170,3 +171,17 @@ def test_reconcile_is_multiset_and_takes_empty_sides(spark):
     none = a.limit(0)
     assert tuple(reconcile.reconcile(none, none).first()) == (0, 0, 0, 0, 0, "equal")
     assert tuple(reconcile.reconcile_counts(none, a).first()) == (0, 1, 1, "different")
+
+
+def test_many_copies_of_one_row_are_multiplied_in_portions(spark):
+    source = spark.range(0, 60000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS k", "'v' AS v"
+    )
+    target = source.filter("k IS NULL").limit(5).union(source.filter("k < 10"))
+    found = reconcile.missing_rows(source, target)
+    assert found.count() == 60000 - 5 - 6
+    assert found.filter("k IS NULL").count() == 20000 - 5
+    exact = source.exceptAll(target)
+    assert found.exceptAll(exact).count() == 0 and exact.exceptAll(found).count() == 0
+    tasks = found.filter("k IS NULL").select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1
