@@ -1,9 +1,6 @@
 from cdcflow.sources import logs
 from pyspark.sql import functions as F
 
-LOG = "log_id bigint, v string, log_timestamp timestamp"
-
-
 def log(spark, *rows):
     df = spark.createDataFrame(
         [(i, v, t) for i, v, t in rows], "log_id bigint, v string, t string"
@@ -11,6 +8,7 @@ def log(spark, *rows):
     return df.select("log_id", "v", F.col("t").cast("timestamp").alias("log_timestamp"))
 
 
+# three neighbouring milliseconds
 T0, T1, T2 = "2024-01-01 00:00:00.000", "2024-01-01 00:00:00.001", "2024-01-01 00:00:00.002"
 
 
@@ -57,6 +55,7 @@ def test_logs_are_collected_into_one_wide_set(spark):
     rows, after = logs.collect_change_logs({"a": log(spark, (1, "v", T0)), "b": other})
     assert {(r.table_name, r.v, r.w) for r in rows.collect()} == {("a", "v", None), ("b", None, "x")}
     assert sorted(position(after))[1][2] == 5
+    assert "Sort " not in rows._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cut_over_leaves_nothing_to_replay(spark, tmp_path):
