@@ -55,10 +55,13 @@ def batch_outputs(
     verified = verify_records(messages, style)
     schema = wide_schema(specs.values())
     record = F.from_json(F.col("value").cast("string"), schema)
-    checked = hold(
-        verified.withColumn("_record", F.when(F.col("is_valid"), record))
+    parsed = verified.withColumn("_record", F.when(F.col("is_valid"), record))
+    # flat, so that each output reads only its columns of what is held
+    fields = [F.col("_record")[n].alias(f"_record_{n}") for n in schema.names]
+    checked = hold(parsed.select(*verified.columns, *fields))
+    parsed = checked.filter("is_valid").select(
+        *[F.col(f"_record_{n}").alias(n) for n in schema.names]
     )
-    parsed = checked.filter("is_valid").select("_record.*")
     routed = route_by_table(parsed, specs, tuple(exclude))
     outputs = {
         table: cdc_docs(table, rows, LOG_POSITION, specs)
