@@ -41,7 +41,7 @@ def apply_changes(
     """
     keys, order = list(keys), list(order)
     if merge == "replace":
-        result = _replace(target, _latest(changes, keys, order), keys)
+        result = _replace(target, changes, keys, order)
     elif merge == "patch":
         result = _patch(target, _patches(changes, keys, order), keys)
     else:
@@ -62,16 +62,15 @@ def _latest(changes, keys, order):
     return latest.withColumn(VERSION, F.struct(*order)).drop(*order)
 
 
-def _replace(target, latest, keys):
+def _replace(target, changes, keys, order):
+    latest = _latest(changes, keys, order)
     if target is None:
         return latest
     if VERSION in target.columns:
+        # keys and positions alone: whole documents are folded once, below
+        newest = changes.groupBy(*keys).agg(F.max(F.struct(*order)).alias(VERSION))
         held = target.select(*keys, F.col(VERSION).alias("_held"))
-        outdated = (
-            latest.select(*keys, VERSION)
-            .join(held, keys)
-            .filter(F.col("_held") > F.col(VERSION))
-        )
+        outdated = newest.join(held, keys).filter(F.col("_held") > F.col(VERSION))
         latest = latest.join(outdated.select(*keys), keys, "left_anti")
     kept = target.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(latest, allowMissingColumns=True)
