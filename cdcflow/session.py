@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,24 +14,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster a machine-local folder would be lost with its executor.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or where that is
+    unset a folder below the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        configured = _local_dir()
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_intermediate"
     return configured.rstrip("/")
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="cdcflow-")
-
-
 def new_dir(spark: SparkSession, label: str) -> str:
     """Unused path below the shared folder."""
     return f"{shared_dir(spark)}/cdcflow/{label}-{uuid.uuid4().hex}"
