@@ -2,36 +2,102 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from llm import near_dedup, token_counts, token_files
+from llm import chat, decontam, language, mixing, near_dedup, pii, quality, token_counts, token_files, toxicity
+from llm.oracle import CHAT
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def workers_find_us(spark):
+    """Python workers on this machine import the package from where the driver has it;
+    a cluster gets it as any other package, by ``--py-files``."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, ROOT) if p)
+
+
+def table(spark, sf_dir, name):
+    workers_find_us(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_toxicity(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    taught = labels.where(toxicity.fold("doc_id", 4) != 2)
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), taught)
+    return scored.select("doc_id", (toxicity.fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op2_decontamination(spark, sf_dir):
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
+def op3_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, docs.where(toxicity.fold("doc_id", 3) != 1))
+    return found.select("doc_id", (toxicity.fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
-def _documents(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def op4_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op5_minhash_near_dedup(spark, sf_dir):
-    found = near_dedup.near_duplicates(_documents(spark, sf_dir))
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_token_counts(spark, sf_dir):
-    return token_counts.count_tokens(_documents(spark, sf_dir), TOKENIZER)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op7_quality_rules(spark, sf_dir):
+    found = quality.quality(table(spark, sf_dir, "documents"))
+    return found.drop("distance")
 
 
 def op8_token_files(spark, sf_dir):
-    return token_files.token_output(_documents(spark, sf_dir), TOKENIZER)
+    return token_files.token_output(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op9_preference_format(spark, sf_dir):
+    pairs = chat.reply_pairs(chat.conversations(table(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    found = chat.preferences(pairs)
+    return found.withColumns({c: spans(F.col(c)) for c in ("chosen_mask", "rejected_mask")}).withColumn("n_common", F.col("n_common").cast("long"))
+
+
+def op10_pii(spark, sf_dir):
+    return pii.pii_digest(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_toxicity,
+        op2_decontamination,
+        op3_language,
+        op4_mixing,
         op5_minhash_near_dedup,
         op6_token_counts,
+        op7_quality_rules,
         op8_token_files,
+        op9_preference_format,
+        op10_pii,
+        pipeline,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_preference_format": CHAT}

@@ -4,8 +4,8 @@ A word is a run of letters and digits, lower-cased. Of the labelled texts, most
 counted, all of them; a part, bounded by ``CALIBRATION_ROWS``, is left out to fit the
 scale of the score. For class c, with discount d,
 
-    p(w)     = spread(w) / sum of spreads            shared: distinct words before w
-    p_c(w)   = (n_c(w) - d)+ / n_c + rest * p(w)
+    p(w)     = (n(w) + spread(w)) / sum of these     shared by both classes
+    p_c(w)   = (n_c(w) - d)+ / n_c + rest * p(w)     spread: distinct words before w
     p_c(w|v) = (n_c(v w) - d)+ / n_c(v) + rest_c(v) * p_c(w)
 
 and a word's evidence is log p_toxic(w|v) - log p_ordinary(w|v). ``rest`` is the mass that
@@ -35,11 +35,15 @@ from llm.text import PUNCTUATION, blocks, word_hashes, words
 WORDS = 1 << 16
 PAIRS = 1 << 17
 DISCOUNT = 0.75
+#: Discounts of single words, toxic and ordinary: a word met a few times in the smaller
+#: class says nothing about it.
+WORD_DISCOUNTS = (3.0, DISCOUNT)
 #: Labelled rows that are set apart to fit the scale: a fifth, at most about this many.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
-#: Weights of the two figures where the rows set apart are all of one class.
-UNFITTED = (30.0, 1.0)
+#: What is expected of the weights for and against before any row is seen.
+PRIOR = (25.0, 0.5)
+PRIOR_SPREAD = (5.0, 0.5)
 
 
 @dataclass
@@ -158,11 +162,12 @@ def fit(texts: DataFrame) -> Model | None:
     before[:, sums["v"].to_numpy(dtype=np.int64)] = sums[["t", "o"]].to_numpy(dtype=float).T
     kept = _frequent(double, totals, PAIRS).toPandas().sort_values("key")
     drop(double)
-    lowest = np.maximum(spread, 0.5) / np.maximum(spread, 0.5).sum()
+    shared_counts = n[0] + n[1] + spread
+    lowest = shared_counts / shared_counts.sum()
     keys = kept["key"].to_numpy(dtype=np.int64)
     single, pair, rest = [], [], []
     for c, name in enumerate(("toxic", "ordinary")):
-        own = np.maximum(n[c] - DISCOUNT, 0) / totals[c]
+        own = np.maximum(n[c] - WORD_DISCOUNTS[c], 0) / totals[c]
         single.append(own + (1 - own.sum()) * lowest)
         ahead = keys // (v + 2)
         high = np.maximum(kept[name].to_numpy(dtype=float) - DISCOUNT, 0) / np.maximum(before[c][ahead], 1)
@@ -204,18 +209,20 @@ def _measured(docs: DataFrame, model: Model, carried: str) -> DataFrame:
     return docs.mapInArrow(run, f"`{name}` {carried}, speaks_for double, speaks_against double, n_words long")
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
-    """Intercept and weights by Newton's method; the weights are penalised, so they stay
-    finite where the classes do not overlap, and the first is not below 0."""
+def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Intercept and weights by Newton's method, the weights with a normal prior (means
+    ``PRIOR``, deviations ``PRIOR_SPREAD``) that only matters for small samples."""
     scale = np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
     z = np.column_stack([np.ones(len(x)), x / scale])
-    w, held = np.zeros(z.shape[1]), np.append(0.0, np.full(x.shape[1], penalty))
-    for _ in range(50):
+    centre = np.append(0.0, np.array(PRIOR) * scale)
+    held = np.append(1e-9, 1 / (np.array(PRIOR_SPREAD) * scale) ** 2)
+    w = centre.copy()
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (p - y) / len(y) + held * w
-        curve = (z.T * (p * (1 - p))) @ z / len(y) + np.diag(held + 1e-9)
+        slope = z.T @ (p - y) + held * (w - centre)
+        curve = (z.T * (p * (1 - p))) @ z + np.diag(held + 1e-6)
         step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -5, 5)
+        w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
     w[1:] /= scale
@@ -246,10 +253,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         sample = _measured(taught.where("apart").select(F.col("toxic"), "text"), model, "int").toPandas()
         y = sample["toxic"].to_numpy(dtype=float)
         x = sample[["speaks_for", "speaks_against"]].to_numpy()
-        if 0 < y.sum() < len(y):
-            w = logistic(x, y)
-        else:
-            w = np.array([np.log(share / (1 - share)), *UNFITTED])
+        w = logistic(x, y)
         odds = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("speaks_for") + F.lit(float(w[2])) * F.col("speaks_against")
         scored = _measured(given, model, "long").select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"), "n_words")
     drop(marks)
