@@ -36,10 +36,12 @@ SPAN = 1 << 20
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text, in ascending order of id, and write the files; returns the
     manifest ``shard, path, n_docs, n_ids``, one row per file, in the order of the ids.
 
+    ``width`` is 2 or 4 bytes an id, 2 for vocabularies of up to 65,536 ids; a larger id
+    fails the job.
     ``end_id`` follows each document (None: nothing does). Null and empty texts have no
     other id. Rows with equal ids stand in order of text, repeated ones side by side.
     Rows with a null id come first. No rows give no files. Other columns do not matter.
@@ -65,6 +67,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(count), end_id)
                     count = count + 1
+                if len(ids) and int(ids.max()) >= 256**width:
+                    raise ValueError(f"an id needs more than {width} bytes")
                 out.write(ids.astype(kind).tobytes())
                 sizes.append(count)
         if out is None:
