@@ -483,7 +483,7 @@ def apply_late_changes(spark, sf_dir):
     newer = changes.filter(F.col("log_id") <= 0)
     older = changes.filter(F.col("log_id") > 0)
     target = apply.apply_changes(_orders_target(spark, sf_dir), newer)
-    return _applied(apply.apply_changes(target, older))
+    return _applied(apply.apply_changes(target, older, derived=True))
 
 
 @query

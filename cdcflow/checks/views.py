@@ -27,7 +27,7 @@ ORDERS = TableSpec(
         Field("o_custkey", LONG),
         Field("o_orderstatus", STRING),
         Field("o_totalprice", MONEY),
-        Field("o_orderdate", T.TimestampType()),
+        Field("o_orderdate", T.TimestampType(), digits=0),
         Field("o_orderpriority", STRING),
     ),
 )

@@ -24,19 +24,33 @@ def canonical_json(columns: dict[str, Column]) -> Column:
 def with_fields(df: DataFrame, text: Column, names, into: str) -> DataFrame:
     """Adds the named top-level fields of a JSON object as a struct of variants.
 
-    The struct is NULL unless ``text`` is one JSON object and nothing else. The
-    reader stops at the end of the first value, so the record is read as a member
-    of an outer object that has one more field behind it: a record with anything
-    after it loses that field or fails to parse.
+    The struct is NULL unless ``text`` is one JSON object and nothing else; ``_keys``
+    lists the names of all its members as they come, repeated ones too. The reader
+    stops at the end of the first value, so the record is read as a member of an outer
+    object with one more member behind it, whose name is the SHA-256 of the text. No
+    text holds its own digest, so none can close the record, add members or end the
+    outer object itself and still leave exactly these two names.
     """
-    outer = F.concat(F.lit('{"record":'), text, F.lit(',"end":0}'))
-    listed = ", ".join(f"{name}: variant" for name in names)
-    schema = f"record struct<{listed}>, end int"
-    parsed = computed_once(df, "_outer", F.from_json(outer, schema, _STRICT))
-    whole = F.when(F.col("_outer.end") == 0, F.col("_outer.record"))
+    end = sha256(text)
+    outer = F.concat(F.lit('{"record":'), text, F.lit(',"'), end, F.lit('":{}}'))
+    read = F.from_json(outer, "map<string,map<string,variant>>", _STRICT)
+    parsed = computed_once(df, "_outer", read)
+    two = F.map_keys("_outer") == F.array(F.lit("record"), end)
+    record = F.col("_outer")["record"]
+    fields = F.struct(
+        *[record[name].alias(name) for name in names], F.map_keys(record).alias("_keys")
+    )
+    whole = F.when(two & record.isNotNull(), fields)
     return parsed.select(*df.columns, whole.alias(into))
 
 
+def in_canonical_order(keys: Column) -> Column:
+    """Whether members are sorted, each once, with the hash as the last."""
+    ahead = F.slice(keys, 1, F.greatest(F.size(keys) - 1, F.lit(0)))
+    ordered = F.array_sort(F.array_distinct(ahead)) == ahead
+    return ordered & (F.element_at(keys, -1) == HASH) & ~F.array_contains(ahead, HASH)
+
+
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds a column that is evaluated once per row, however often it is used.
 

@@ -16,7 +16,7 @@ def parse_feed_time(text) -> Column:
     return F.try_to_timestamp(text, F.lit(FEED_PATTERN))
 
 
-def time_text(name: str) -> Column:
-    """Text of a time column: six fraction digits where the name says timestamp."""
-    pattern = MICRO_PATTERN if "timestamp" in name else SECOND_PATTERN
+def time_text(name: str, digits: int = 6) -> Column:
+    """Text of a time column with the declared fraction digits, 6 or 0."""
+    pattern = MICRO_PATTERN if digits else SECOND_PATTERN
     return F.date_format(F.col(name), pattern)

@@ -26,6 +26,7 @@ def apply_changes(
     order: Sequence[str] = LOG_POSITION,
     deletes: str = "tombstone",
     merge: str = "replace",
+    derived: bool = False,
 ) -> DataFrame:
     """Target after the changes: one row per key, with ``status`` and ``_version``.
 
@@ -36,12 +37,20 @@ def apply_changes(
     ``patch`` keeps old values where changes hold NULL (for changes that arrive
     in order: values a key lacked are not filled from late older changes).
 
-    A target that is large against the changes is not shuffled: it meets only
+    Changes with a NULL key part belong to no row and are left out (``keyless`` lists
+    them), so folding stays idempotent.
+
+    ``derived``: the target is itself the result of folds or joins. It then enters the
+    plan once, through one full outer join on the keys, so plans of repeated folds grow
+    by one join each. Otherwise it is taken for a stored table that is cheap to scan:
+    a target that is large against the changes is not shuffled: it meets only
     the changed keys, which Spark broadcasts while they are below its threshold.
     """
     keys, order = list(keys), list(order)
+    changes = changes.dropna(how="any", subset=keys)
     if merge == "replace":
-        result = _replace(target, changes, keys, order)
+        fold = _replace_once if derived and target is not None else _replace
+        result = fold(target, changes, keys, order)
     elif merge == "patch":
         result = _patch(target, _patches(changes, keys, order), keys)
     else:
@@ -57,6 +66,11 @@ def live_documents(target: DataFrame) -> DataFrame:
     return target.filter(~F.col("status").eqNullSafe(F.lit(DELETE)))
 
 
+def keyless(changes: DataFrame, keys: Sequence[str] = ("_id",)) -> DataFrame:
+    """Changes that no target can hold: those with a NULL key part."""
+    return changes.filter(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)))
+
+
 def _latest(changes, keys, order):
     latest = keep_last(changes, keys, order)
     return latest.withColumn(VERSION, F.struct(*order)).drop(*order)
@@ -76,6 +90,30 @@ def _replace(target, changes, keys, order):
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+def _replace_once(target, changes, keys, order):
+    """As ``_replace``, with the target and the changes in the plan once each."""
+    latest = _latest(changes, keys, order)
+    columns = [c for c in target.columns if c not in keys]
+    columns += [c for c in latest.columns if c not in (*keys, *columns)]
+
+    def packed(df, name):
+        own = [c for c in columns if c in df.columns]
+        return df.select(*keys, F.struct(*own).alias(name))
+
+    both = packed(target, "_old").join(packed(latest, "_new"), keys, "full_outer")
+    taken = F.col("_new").isNotNull()
+    if VERSION in target.columns:
+        outdated = F.col(f"_old.{VERSION}") > F.col(f"_new.{VERSION}")
+        taken &= ~F.coalesce(outdated, F.lit(False))
+
+    def side(c):
+        new = F.col(f"_new.{c}") if c in latest.columns else F.lit(None)
+        old = F.col(f"_old.{c}") if c in target.columns else F.lit(None)
+        return F.when(taken, new).otherwise(old).alias(c)
+
+    return both.select(*keys, *map(side, columns))
+
+
 def _patches(changes, keys, order):
     """Latest change per key, and per column the latest value since a delete."""
     position = F.struct(*order)

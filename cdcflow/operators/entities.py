@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcflow.functions.dedup import keep_first
 from cdcflow.functions.times import parse_feed_time
@@ -100,16 +101,14 @@ def orgs_dim(raw: DataFrame) -> DataFrame:
 
 def fork_target() -> dict[str, Column]:
     """Repository columns of an event's fork target."""
-    same = (
-        "name full_name html_url description homepage size language "
-        "forks_count stargazers_count watchers_count default_branch"
-    ).split()
-    values = {name: F.col(f"payload.forkee.{name}") for name in same}
-    values["repo_id"] = F.col("payload.forkee.id")
-    values["is_private"] = F.col("payload.forkee.private")
-    values["is_fork"] = F.col("payload.forkee.fork")
-    for name in ("created_at", "updated_at", "pushed_at"):
-        values[name] = parse_feed_time(F.col(f"payload.forkee.{name}"))
+    renamed = {"repo_id": "id", "is_private": "private", "is_fork": "fork"}
+    values = {}
+    for column in REPOS.columns:
+        if column.name == "url":  # events give it by the repository, not by its fork
+            continue
+        value = F.col(f"payload.forkee.{renamed.get(column.name, column.name)}")
+        is_time = isinstance(column.type, T.TimestampType)
+        values[column.name] = parse_feed_time(value) if is_time else value
     return values
 
 

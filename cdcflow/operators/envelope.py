@@ -13,6 +13,7 @@ from cdcflow.functions.canonical import (
     covered_sha256,
     field_json,
     field_text,
+    in_canonical_order,
     is_sealed_by,
     rewritten_sha256,
     seal_text,
@@ -39,12 +40,14 @@ _EMPTY = ("null", '""', "0", "false", "[]", "{}")
 
 def wire_columns(spec: TableSpec) -> dict[str, Column]:
     """A table's columns in the types they are published with."""
-    return {c.name: _wire_value(c.name, c.type) for c in spec.columns}
+    return {c.name: _wire_value(c.name, c.type, c.digits) for c in spec.columns}
 
 
-def _wire_value(name: str, declared: T.DataType) -> Column:
-    if isinstance(declared, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return time_text(name)
+def _wire_value(name: str, declared: T.DataType, digits: int) -> Column:
+    if isinstance(declared, (T.TimestampType, T.TimestampNTZType)):
+        return time_text(name, digits)
+    if isinstance(declared, T.DateType):
+        return time_text(name, 0)
     return F.col(name).cast(declared).cast(wire_type(declared))
 
 
@@ -132,11 +135,11 @@ def verify_records(messages: DataFrame, style: str = CANONICAL) -> DataFrame:
         identity.alias("_identity"),
         early.alias("_early"),
         F.coalesce(field_text(received), field_json(received)).alias("_received"),
-        covered_sha256(text).alias("_covered"),
+        F.when(in_canonical_order(fields["_keys"]), covered_sha256(text)).alias("_covered"),
     )
-    # A message as sealed here is the canonical text with the hash as its last
-    # member: hashing its bytes is enough. Any other text, say with members
-    # reordered on the way, is brought to canonical form first.
+    # A message as sealed here has its members in order and the hash as the last:
+    # hashing its bytes is enough. Any other text, say with members reordered on
+    # the way, is brought to canonical form first.
     if style == CANONICAL:
         covered = F.col("_covered")
         digest = (

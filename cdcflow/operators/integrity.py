@@ -42,7 +42,7 @@ def null_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Required columns holding NULL: key of the row and column name."""
     required = [c.name for c in spec.columns if c.required and c.name in df.columns]
     nulls = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]).cast("array<string>")
     )
     return df.select(F.col(spec.key), F.explode(nulls).alias("column_name"))
 
@@ -54,9 +54,43 @@ def unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.filter(F.col("row_count") > 1)
 
 
+def constraint_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """All declared constraints of a table: ``column_name, rule, value, row_count``.
+
+    ``rule`` is ``required`` or ``length`` (with the row's key as ``value``, counted by
+    row) or ``unique`` (with the value that several rows share, and their number).
+    """
+    key = F.col(spec.key).cast("string").alias("value")
+    one = F.lit(1).cast("bigint").alias("row_count")
+    nulls = null_violations(df, spec).select(
+        "column_name", F.lit("required").alias("rule"), key, one
+    )
+    lengths = length_violations(df, spec).select(
+        "column_name", F.lit("length").alias("rule"), key, one
+    )
+    found = nulls.unionByName(lengths)
+    for column in (c.name for c in spec.columns if c.unique and c.name in df.columns):
+        found = found.unionByName(
+            unique_violations(df, [column]).select(
+                F.lit(column).alias("column_name"),
+                F.lit("unique").alias("rule"),
+                F.col(column).cast("string").alias("value"),
+                "row_count",
+            )
+        )
+    return found
+
+
 def length_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Values longer than declared: key of the row, column name, length found."""
     limited = [c for c in spec.columns if c.length and c.name in df.columns]
+    if not limited:
+        nothing = df.select(
+            F.col(spec.key),
+            F.lit("").alias("column_name"),
+            F.lit(0).alias("found_length"),
+        )
+        return nothing.filter("false")
     found = F.array_compact(
         F.array(
             *[

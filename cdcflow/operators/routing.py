@@ -30,7 +30,7 @@ def route_by_table(
     """Rows per declared table, names compared without case.
 
     The tables are declared, so routing is a filter each and asks the data
-    nothing. Rows without a table name go nowhere.
+    nothing. Rows without a table name are ``unrouted`` if that is asked for them.
     """
     excluded = {name.lower() for name in exclude}
     name = F.lower("table_name")
@@ -45,10 +45,13 @@ def unrouted(
     parsed: DataFrame,
     tables: Iterable[str],
     exclude: Sequence[str] = EXCLUDED_FROM_DOCUMENTS,
+    unnamed: bool = False,
 ) -> DataFrame:
-    """Named rows of tables neither declared nor excluded."""
+    """Rows of tables neither declared nor excluded; with ``unnamed`` also those
+    without a table name."""
     known = {t.lower() for t in tables} | {t.lower() for t in exclude}
-    return parsed.filter(~F.lower("table_name").isin(*sorted(known)))
+    name = F.lower("table_name")
+    return parsed.filter(F.coalesce(~name.isin(*sorted(known)), F.lit(unnamed)))
 
 
 def cdc_docs(

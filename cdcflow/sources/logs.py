@@ -34,7 +34,8 @@ def incremental_log_read(
 
     Rows are compared by (``ts``, ``tie``), so none is lost that shares its
     millisecond with the last one read. ``tie=None`` compares the time alone.
-    Without new rows the cursor stays.
+    Without new rows the cursor stays. Without a cursor everything is new, rows without
+    a time included; with one, such rows have no place after it (``untimed`` lists them).
     """
     fresh, following = _read_after(log, cursors, table_name, ts, tie)
     # a second sort column lets the sort spread rows that share one time
@@ -43,10 +44,14 @@ def incremental_log_read(
 
 
 def _read_after(log, cursors, table_name, ts, tie) -> tuple[DataFrame, DataFrame]:
-    if cursors is None:
+    cursors_unset = cursors is None
+    if cursors_unset:
         cursors = empty_cursors(log.sparkSession)
     mine = cursors.filter(F.col("table_name").eqNullSafe(F.lit(table_name)))
-    fresh = log.filter(_after(mine, ts, tie))
+    if cursors_unset:
+        fresh = log
+    else:
+        fresh = log.filter(_after(mine, ts, tie)).unionByName(_without_cursor(log, mine, ts, tie))
     position = F.max(
         F.struct(
             F.col(ts).cast("timestamp").alias("cursor_ts"),
@@ -68,17 +73,35 @@ def _read_after(log, cursors, table_name, ts, tie) -> tuple[DataFrame, DataFrame
     return fresh, following
 
 
+def untimed(log: DataFrame, ts: str = "log_timestamp") -> DataFrame:
+    """Rows without a time, which no cursor can be compared with."""
+    return log.filter(F.col(ts).isNull())
+
+
+def _start(mine: DataFrame):
+    """The latest position of the cursor rows, taken as a whole."""
+    return mine.agg(F.max(F.struct("cursor_ts", "cursor_id")).alias("at"))
+
+
+def _without_cursor(log: DataFrame, mine: DataFrame, ts: str, tie: str | None) -> DataFrame:
+    """What the comparison with a cursor leaves out where there is no cursor at all."""
+    none = _start(mine).select(F.col("at").isNull()).scalar()
+    lost = F.col(ts).isNull() if tie is None else F.col(ts).isNull() | F.col(tie).isNull()
+    return log.filter(lost & none)
+
+
 def _after(mine: DataFrame, ts: str, tie: str | None):
-    start_ts = mine.agg(
-        F.coalesce(F.max("cursor_ts"), F.lit(_START_TS).cast("timestamp"))
+    start_ts = _start(mine).select(
+        F.coalesce("at.cursor_ts", F.lit(_START_TS).cast("timestamp"))
     ).scalar()
     if tie is None:
         return F.col(ts) > start_ts
-    start_id = mine.agg(
-        F.coalesce(F.max("cursor_id"), F.lit(_START_ID).cast("bigint"))
+    start_id = _start(mine).select(
+        F.coalesce("at.cursor_id", F.lit(_START_ID).cast("bigint"))
     ).scalar()
     # the first conjunct is implied; it is what a scan can prune by
-    return (F.col(ts) >= start_ts) & ((F.col(ts) > start_ts) | (F.col(tie) > start_id))
+    later = (F.col(ts) > start_ts) | (F.col(tie) > start_id)
+    return (F.col(ts) >= start_ts) & later & (F.col(tie).isNotNull() | _start(mine).select(F.col("at").isNotNull()).scalar())
 
 
 def collect_change_logs(

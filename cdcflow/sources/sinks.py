@@ -40,13 +40,17 @@ def document_sink(
 # --- document collections on files -------------------------------------------
 
 
-def write_documents(df: DataFrame, root: str, collection: str, batch_id: int) -> None:
+def write_documents(
+    df: DataFrame, root: str, collection: str, batch_id: int, stream: str = "direct"
+) -> None:
     """Store one batch of document changes.
 
     A batch owns its folder and replaces it, so a batch that is replayed after a
-    failure leaves the same files.
+    failure leaves the same files. ``stream`` tells apart streams that number their
+    batches alike, such as one that was started again with a new checkpoint.
     """
-    df.write.mode("overwrite").parquet(f"{root}/{collection}/batch_id={batch_id}")
+    folder = f"{root}/{collection}/stream={stream}/batch_id={batch_id}"
+    df.write.mode("overwrite").parquet(folder)
 
 
 def document_changes(
@@ -55,7 +59,7 @@ def document_changes(
     reader = spark.read.option("basePath", f"{root}/{collection}")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(f"{root}/{collection}").drop("batch_id")
+    return reader.parquet(f"{root}/{collection}").drop("batch_id", "stream")
 
 
 def read_documents(

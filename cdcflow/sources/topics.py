@@ -16,12 +16,12 @@ def stream_change_topic(
     spark: SparkSession,
     fmt: str = BROKER,
     options: dict[str, str] | None = None,
-    max_per_trigger: int | None = 5000,
+    max_per_trigger: int | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Unbounded messages from the beginning of a topic, rate-limited per batch.
+    """Unbounded messages from the beginning of a topic.
 
-    The limit counts messages on a broker and files elsewhere. A broker topic is
+    A batch takes all there is unless ``max_per_trigger`` limits it, which counts messages on a broker and files elsewhere. A broker topic is
     named by the ``subscribe`` option, a file topic by ``path``.
     """
     reader = spark.readStream.format(fmt)

@@ -30,6 +30,8 @@ class Column:
     unique: bool = False
     length: int | None = None
     default: object = None
+    # fraction digits of a published time; what the source holds is not cut
+    digits: int = 6
 
 
 @dataclass(frozen=True)
@@ -87,7 +89,7 @@ USERS = TableSpec(
         Column("url", STRING, length=512),
         Column("type", STRING, length=50),
         Column("site_admin", BOOLEAN),
-        Column("created_at", TIMESTAMP, default=NOW),
+        Column("created_at", TIMESTAMP, default=NOW, digits=0),
     ),
     stream_document=(
         ("login", "login"),
@@ -118,9 +120,9 @@ REPOS = TableSpec(
         Column("stargazers_count", INT, default=0),
         Column("watchers_count", INT, default=0),
         Column("default_branch", STRING, length=100),
-        Column("created_at", TIMESTAMP),
-        Column("updated_at", TIMESTAMP),
-        Column("pushed_at", TIMESTAMP),
+        Column("created_at", TIMESTAMP, digits=0),
+        Column("updated_at", TIMESTAMP, digits=0),
+        Column("pushed_at", TIMESTAMP, digits=0),
     ),
     stream_document=(
         ("name", "name"),
@@ -142,7 +144,7 @@ ORGS = TableSpec(
         Column("login", STRING, required=True, unique=True, length=255),
         Column("url", STRING, length=512),
         Column("avatar_url", STRING, length=512),
-        Column("created_at", TIMESTAMP, default=NOW),
+        Column("created_at", TIMESTAMP, default=NOW, digits=0),
     ),
     stream_document=(("login", "login"), ("avatar_url", "avatar_url")),
 )
@@ -157,7 +159,7 @@ EVENTS = TableSpec(
         Column("repo_id", LONG),
         Column("org_id", LONG),
         Column("is_public", BOOLEAN),
-        Column("created_at", TIMESTAMP, required=True),
+        Column("created_at", TIMESTAMP, required=True, digits=0),
         Column("forkee_repo_id", LONG),
     ),
     foreign_keys=(

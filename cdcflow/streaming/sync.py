@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -16,15 +16,22 @@ from cdcflow.sources.sinks import document_sink, write_documents
 from cdcflow.specs import EXCLUDED_FROM_DOCUMENTS, FEED_TABLES, TableSpec, wide_schema
 
 DEAD_LETTERS, UNROUTED = "dead_letters", "unrouted"
+# reason of verified messages whose key or time cannot be read
+UNREADABLE = "Unreadable key or log_timestamp"
 
 Sink = Callable[[str, DataFrame, int], None]
 
 
 def file_sink(root: str) -> Sink:
-    """Collections as batch folders of Parquet (see ``sinks.read_documents``)."""
+    """Collections as batch folders of Parquet (see ``sinks.read_documents``).
+
+    The folders are those of the stream's own id, which lives in its checkpoint.
+    """
 
     def store(collection: str, docs: DataFrame, batch_id: int) -> None:
-        write_documents(docs, root, collection, batch_id)
+        context = docs.sparkSession.sparkContext
+        stream = context.getLocalProperty("sql.streaming.queryId") or "direct"
+        write_documents(docs, root, collection, batch_id, stream)
 
     return store
 
@@ -56,6 +63,13 @@ def batch_outputs(
     schema = wide_schema(specs.values())
     record = F.from_json(F.col("value").cast("string"), schema)
     parsed = verified.withColumn("_record", F.when(F.col("is_valid"), record))
+    unread = _unreadable(specs, exclude, schema.names)
+    parsed = parsed.withColumns(
+        {
+            "error_reason": F.coalesce("error_reason", F.when(F.col("is_valid"), unread)),
+            "is_valid": F.col("is_valid") & unread.isNull(),
+        }
+    )
     # flat, so that each output reads only its columns of what is held
     fields = [F.col("_record")[n].alias(f"_record_{n}") for n in schema.names]
     checked = hold(parsed.select(*verified.columns, *fields))
@@ -67,11 +81,30 @@ def batch_outputs(
         table: cdc_docs(table, rows, LOG_POSITION, specs)
         for table, rows in routed.items()
     }
-    outputs[UNROUTED] = unrouted(parsed, specs, tuple(exclude))
+    outputs[UNROUTED] = unrouted(parsed, specs, tuple(exclude), unnamed=True)
     outputs[DEAD_LETTERS] = dead_letters(checked)
     return outputs
 
 
+def _unreadable(specs: dict[str, TableSpec], exclude: Iterable[str], names) -> Column:
+    """Why a verified message of a declared table cannot be stored, or NULL.
+
+    A row without its key or its time would be in a collection that nobody finds it in.
+    """
+    reason = F.lit(None).cast("string")
+    left_out = {name.lower() for name in exclude}
+    for name, spec in specs.items():
+        if name.lower() in left_out:
+            continue
+        lost = F.lit(False)
+        for column in (spec.key, "log_timestamp"):
+            if column in names:
+                lost |= F.col(f"_record.{column}").isNull()
+        mine = F.lower(F.col("_record.table_name")) == name.lower()
+        reason = F.when(mine & lost, UNREADABLE).otherwise(reason)
+    return reason
+
+
 def process_batch(
     batch: DataFrame,
     batch_id: int,
