@@ -318,7 +318,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` whose id is the smallest of its component, each once.
 
     Rows without words stay. Of rows that repeat an id with the same set of shingles
-    one stays. Rows with a null id stay only where no row of their component has one.
+    one stays. Rows with a null id cannot be told apart by it: they stay together if one
+    of them has a component without any id.
     """
     found = near_duplicates(docs, id_col, text_col)
     ids = land(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "kept")
