@@ -2,8 +2,10 @@ import __spark_entry__
 import compare
 import pytest
 
+from cdcflow.checks.oracle import ORACLE
+from cdcflow.checks.queries import QUERIES
+
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -13,6 +15,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
