@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.functions.dedup import keep_first
+from cdcflow.functions.dedup import keep_first, keep_last
 from cdcflow.functions.joins import splittable
 from cdcflow.functions.times import parse_feed_time
-from cdcflow.operators.entities import fork_target, orgs_dim, users_dim
+from cdcflow.operators.entities import (
+    EVENT_POSITION,
+    event_order,
+    fork_target,
+    orgs_dim,
+    users_dim,
+)
 
 
 def users_docs(users: DataFrame) -> DataFrame:
@@ -19,28 +25,24 @@ def orgs_docs(orgs: DataFrame) -> DataFrame:
     return orgs.withColumnRenamed("org_id", "_id")
 
 
-def repo_docs(raw: DataFrame) -> DataFrame:
+def repo_docs(raw: DataFrame, position: bool = False) -> DataFrame:
     """One document per fork event, with the owner first seen for that target.
 
     A target in several events gives several documents with one ``_id``; they
-    are folded when the collection is loaded.
+    are folded when the collection is loaded. ``position`` adds where the event stands.
     """
-    target = fork_target()
-    forks = raw.select(*[value.alias(name) for name, value in target.items()]).filter(
-        F.col("repo_id").isNotNull()
-    )
+    target = [value.alias(name) for name, value in fork_target().items()]
+    forks = raw.select(*target, *event_order()).filter(F.col("repo_id").isNotNull())
     owners = keep_first(
         raw.filter(F.col("payload.forkee.id").isNotNull()).select(
             F.col("payload.forkee.id").alias("fork_id"),
-            parse_feed_time(F.col("created_at")).alias("_event_time"),
-            F.col("id").try_cast("decimal(38,0)").alias("_event_number"),
-            F.col("id").alias("_event"),
+            *event_order(),
             F.col("payload.forkee.owner.id").alias("id"),
             F.col("payload.forkee.owner.login").alias("login"),
             F.col("payload.forkee.owner.type").alias("type"),
         ),
         ["fork_id"],
-        ["_event_time", "_event_number", "_event"],
+        EVENT_POSITION,
     ).select("fork_id", F.struct("id", "login", "type").alias("owner"))
     owners = splittable(owners.filter(F.col("owner.id").isNotNull()), "fork_id")
     return forks.join(owners, forks.repo_id == owners.fork_id).select(
@@ -59,10 +61,11 @@ def repo_docs(raw: DataFrame) -> DataFrame:
         ),
         F.struct("created_at", "updated_at", "pushed_at").alias("dates"),
         "owner",
+        *(EVENT_POSITION if position else []),
     )
 
 
-def event_docs(raw: DataFrame) -> DataFrame:
+def event_docs(raw: DataFrame, position: bool = False) -> DataFrame:
     """Nested event documents; only ``org`` is a NULL object when it has no id."""
     return raw.select(
         F.col("id").alias("_id"),
@@ -81,9 +84,15 @@ def event_docs(raw: DataFrame) -> DataFrame:
             "payload.ref",
             "payload.head",
         ).alias("payload"),
+        *(event_order() if position else []),
     )
 
 
+def latest_documents(docs: DataFrame) -> DataFrame:
+    """Document per ``_id`` of the last event that gave one (``position=True``)."""
+    return keep_last(docs, ["_id"], EVENT_POSITION).drop(*EVENT_POSITION)
+
+
 def feed_documents(raw: DataFrame) -> dict[str, DataFrame]:
     return {
         "users": users_docs(users_dim(raw)),

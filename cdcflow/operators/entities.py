@@ -18,10 +18,12 @@ from cdcflow.specs import EVENTS, ORGS, REPO_OWNERSHIP, REPOS, USERS, TableSpec
 
 dedup_by_key = keep_first
 
-_PRECEDENCE = ["_source", "_event_time", "_event_number", "_event"]
+EVENT_POSITION = ["_event_time", "_event_number", "_event"]
+_PRECEDENCE = ["_source", *EVENT_POSITION]
 
 
-def _event_order() -> list[Column]:
+def event_order() -> list[Column]:
+    """Where an event stands in the feed, as the columns ``EVENT_POSITION``."""
     return [
         parse_feed_time(F.col("created_at")).alias("_event_time"),
         F.col("id").try_cast("decimal(38,0)").alias("_event_number"),
@@ -42,7 +44,7 @@ def _candidate(spec: TableSpec, source: int, values: dict[str, Column]) -> Colum
 
 def _one_per_key(raw: DataFrame, spec: TableSpec, *candidates: Column) -> DataFrame:
     rows = (
-        raw.select(*_event_order(), F.explode(F.array(*candidates)).alias("_row"))
+        raw.select(*event_order(), F.explode(F.array(*candidates)).alias("_row"))
         .select("_event_time", "_event_number", "_event", "_row.*")
         .filter(F.col(spec.key).isNotNull())
     )
@@ -92,7 +94,7 @@ def orgs_dim(raw: DataFrame) -> DataFrame:
         },
     )
     # a single candidate: without the explode the key filter reaches the scan
-    rows = raw.select(*_event_order(), org.alias("_row")).select(
+    rows = raw.select(*event_order(), org.alias("_row")).select(
         "_event_time", "_event_number", "_event", "_row.*"
     )
     rows = rows.filter(F.col("org_id").isNotNull())
@@ -131,7 +133,7 @@ def repos_dim(raw: DataFrame) -> DataFrame:
 def events_fact(raw: DataFrame, fork_type: str = "ForkEvent") -> DataFrame:
     """Event keys; the fork target only for the fork type. NULL ids are kept."""
     rows = raw.select(
-        *_event_order(),
+        *event_order(),
         F.col("id").alias("event_id"),
         F.col("type").alias("event_type"),
         F.col("actor.id").alias("actor_id"),
@@ -161,7 +163,7 @@ def repo_ownership(raw: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("owner_org_id"),
     )
     rows = (
-        raw.select(*_event_order(), F.explode(F.array(by_org, by_user)).alias("_row"))
+        raw.select(*event_order(), F.explode(F.array(by_org, by_user)).alias("_row"))
         .select("_event_time", "_event_number", "_event", "_row.*")
         .filter(
             F.col("repo_id").isNotNull()

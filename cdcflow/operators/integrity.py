@@ -169,8 +169,13 @@ def cascade(
     """Carry deletes through the foreign-key graph, parents first.
 
     ``deleted`` maps table names to deleted keys. Returns every table after the
-    deletes, and the keys that went from each, cascaded ones included.
+    deletes, and the keys that went from each, cascaded ones included. A table that
+    refers to itself is refused: its chains have no fixed depth.
     """
+    specs = list(specs)
+    for spec in specs:
+        if any(fk.parent == spec.name for fk in spec.foreign_keys):
+            raise ValueError(f"{spec.name} refers to itself: its deletes are not carried on")
     remaining: dict[str, DataFrame] = {}
     gone = {name: _parents(keys) for name, keys in deleted.items()}
     for spec in load_order(specs):

@@ -27,22 +27,27 @@ def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
 def missing_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source rows the target lacks, as often as it lacks them (multiset).
 
-    Copies of a row travel as one row with a count. They are multiplied out at
-    the end in portions, spread over the tasks: a row with very many copies is
-    not written out by the one task that counted it.
+    Copies of a row travel as one row with a count. Rows with few are multiplied out
+    where they are, those with many in portions that are spread over the tasks: a row
+    with very many copies is not written out by the one task that counted it.
     """
     columns = source.columns
-    surplus = F.col("_s") - F.col("_t")
-    lacking = _row_counts(source, target).filter(surplus > 0)
-    portions = F.sequence(F.lit(0), F.expr(f"(_s - _t - 1) div {_PORTION}"))
+    counted = _row_counts(source, target).withColumn("_copies", F.col("_s") - F.col("_t"))
+    few = counted.filter(f"_copies BETWEEN 1 AND {_PORTION}")
+    many = counted.filter(f"_copies > {_PORTION}")
+    portions = F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_PORTION}"))
     # a given number of tasks is kept, where a size-based one would see few bytes
     tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = lacking.select(
-        *columns, surplus.alias("_copies"), F.explode(portions).alias("_portion")
+    spread = many.select(
+        *columns, "_copies", F.explode(portions).alias("_portion")
     ).repartition(tasks, *columns, "_portion")
-    left = F.col("_copies") - F.col("_portion") * _PORTION
-    copies = F.sequence(F.lit(1), F.least(left, F.lit(_PORTION)).cast("int"))
-    return spread.select(*columns, F.explode(copies).alias("_copy")).drop("_copy")
+    left = F.least(F.col("_copies") - F.col("_portion") * _PORTION, F.lit(_PORTION))
+
+    def multiplied(df, copies):
+        each = F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy")
+        return df.select(*columns, each).drop("_copy")
+
+    return multiplied(few, F.col("_copies")).unionByName(multiplied(spread, left))
 
 
 _PORTION = 1024  # copies of one row a task multiplies out

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.functions.dedup import keep_first
-from cdcflow.operators.documents import feed_documents
+from cdcflow.operators.documents import (
+    event_docs,
+    latest_documents,
+    orgs_docs,
+    repo_docs,
+    users_docs,
+)
 from cdcflow.operators.entities import feed_tables
 from cdcflow.operators.reconcile import reconcile
 from cdcflow.sources.files import land_parquet, scan_nested_json
@@ -29,26 +34,30 @@ def batch_load(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Load a feed into tables, then collections; report what was written.
 
-    The feed is landed as Parquet once: the nine outputs and their checks then
-    read only the nested columns they need. Returns the report, one row per
-    output, and the cursors past ``logs``.
+    The feed is landed as Parquet once: the outputs and their checks then read only
+    the nested columns they need. Users and organisations are folded once, for their
+    tables; their collections come from what was stored. Of several events that give
+    one document the last one counts. Returns the report, one row per output, and the
+    cursors past ``logs``.
     """
     raw = land_parquet(scan_nested_json(spark, feed_path), f"{root}/raw")
     specs = list(FEED_TABLES.values())
-    tables, documents = feed_tables(raw, fork_type), feed_documents(raw)
-    for name in ("repos", "events"):  # several events may give one document
-        documents[name] = keep_first(documents[name], ["_id"], [])
-
+    tables = feed_tables(raw, fork_type)
     bootstrap_tables(spark, specs, f"{root}/tables")
     order = ordered_load(tables, specs, table_sink(f"{root}/tables"))
+    loaded = {name: spark.read.parquet(f"{root}/tables/{name}") for name in order}
+
+    documents = {
+        "users": users_docs(loaded["users"]),
+        "orgs": orgs_docs(loaded["orgs"]),
+        "repos": latest_documents(repo_docs(raw, position=True)),
+        "events": latest_documents(event_docs(raw, position=True)),
+    }
     store = table_sink(f"{root}/collections")
     for name, docs in documents.items():
         store(name, docs)
 
-    written = {
-        f"tables/{name}": (tables[name], spark.read.parquet(f"{root}/tables/{name}"))
-        for name in order
-    }
+    written = {f"tables/{name}": (tables[name], loaded[name]) for name in order}
     for name, docs in documents.items():
         stored = spark.read.parquet(f"{root}/collections/{name}")
         written[f"collections/{name}"] = (docs, stored)

@@ -62,14 +62,17 @@ def publish_topic(
     """Send records to a topic.
 
     A streaming ``df`` gives the started query (``options`` then hold its
-    ``checkpointLocation``); a batch is written at once.
+    ``checkpointLocation``); a batch is written at once. A text topic fails on a message
+    with a line break, which would come back as several; other formats take it.
     """
     messages = as_messages(df, key)
     options = dict(options or {})
     if fmt == BROKER:
         options["topic"] = topic
     elif fmt == "text":
-        messages = messages.select("value")
+        refused = F.raise_error(F.lit("a message with a line break cannot be a line of text"))
+        broken = F.col("value").rlike("[\r\n]")
+        messages = messages.select(F.when(broken, refused).otherwise(F.col("value")).alias("value"))
     location = None if fmt == BROKER else f"{path}/{topic}"
     if df.isStreaming:
         query = messages.writeStream.format(fmt).options(**options)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from cdcflow.functions.dedup import keep_last
 from cdcflow.operators.apply import LOG_POSITION
 from cdcflow.operators.envelope import CANONICAL, dead_letters, verify_records
 from cdcflow.operators.routing import cdc_docs, route_by_table, unrouted
@@ -44,7 +45,25 @@ def store_sink(
     def store(collection: str, docs: DataFrame, batch_id: int) -> None:
         document_sink(docs, collection, uri, database, fmt, options)
 
-    return store
+    return replacing_sink(store)
+
+
+def replacing_sink(store: Sink) -> Sink:
+    """A sink for a store that keeps what it is given last, whatever the order of rows.
+
+    A batch hands it one document per ``_id``, the latest, without the log position.
+    Dead letters, unrouted rows and tables without ``_id`` replace nothing and are handed
+    on as they are. The order between batches is the topic's: where a change may come in
+    a later batch than a newer one of its key, the store has to compare positions itself,
+    or the collection is kept by ``file_sink``.
+    """
+
+    def fold(collection: str, docs: DataFrame, batch_id: int) -> None:
+        if collection not in (DEAD_LETTERS, UNROUTED) and "_id" in docs.columns:
+            docs = keep_last(docs, ["_id"], LOG_POSITION).drop(*LOG_POSITION)
+        store(collection, docs, batch_id)
+
+    return fold
 
 
 def batch_outputs(

@@ -128,6 +128,22 @@ def test_repo_documents_keep_one_per_event_and_need_an_owner(raw):
     assert [(d["_id"], d.owner.id, d.stats.size) for d in docs] == [(5, 9, 7), (5, 9, 7)]
 
 
+def test_the_last_event_gives_the_document(raw):
+    owner = {"id": 9, "login": "o", "type": "User"}
+    unnamed = fork(5, owner) | {"name": None}
+    df = raw(
+        event("1", fork=unnamed),
+        event("3", at="2024-01-02T00:00:00Z", fork=fork(5, owner) | {"name": "last"}),
+        event("2", at="2024-01-02T00:00:00Z", fork=unnamed),
+        event("4", at="bad", fork=unnamed),
+    )
+    latest = documents.latest_documents(documents.repo_docs(df, position=True))
+    assert one(latest).name == "last"
+    assert latest.columns == documents.repo_docs(df).columns
+    twice = raw(event("1", type="old"), event("1", type="new", at="2024-01-02T00:00:00Z"))
+    assert one(documents.latest_documents(documents.event_docs(twice, position=True))).type == "new"
+
+
 def test_only_the_organisation_is_a_null_object(raw):
     df = raw(event("1", public=False), event("1", public=False, org=person(3, "org")))
     docs = documents.event_docs(df).orderBy(F.col("org").isNotNull()).collect()

@@ -151,6 +151,14 @@ def test_a_parent_of_a_third_of_the_children(spark):
     assert integrity.cascade_delete(child, "a", deleted).count() == 19999
 
 
+def test_a_table_that_refers_to_itself_is_refused(spark):
+    fields = (Field("id", LONG), Field("up", LONG))
+    tree = TableSpec("tree", "id", fields, (ForeignKey("up", "tree", CASCADE),))
+    rows = spark.createDataFrame([(1, None), (2, 1), (3, 2)], "id bigint, up bigint")
+    with pytest.raises(ValueError, match="refers to itself"):
+        integrity.cascade({"tree": rows}, [tree], {"tree": rows.select("id").limit(1)})
+
+
 # --- reconciliation ---
 
 

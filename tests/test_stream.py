@@ -108,6 +108,30 @@ def test_an_older_batch_does_not_win_and_a_base_compacts(spark, tmp_path):
     assert {r["_id"]: r.login for r in folded.collect()} == {1: "new", 2: "x"}
 
 
+def test_a_replacing_store_gets_the_latest_change_of_a_batch(spark):
+    rows = [(k * 10 + n, k, f"v{n}", "UPDATE", n) for k in (1, 2) for n in range(4)]
+    sealed = seal_records(users_log(spark, *rows), USERS, "now").select("value")
+    broken = spark.createDataFrame([("broken",)], "value string")
+    store, handed = {}, {}
+
+    def replace(collection, docs, batch_id):
+        handed[collection] = docs.columns
+        for row in reversed(docs.collect()):
+            store[collection, row.asDict().get("_id")] = row
+
+    sync.process_batch(sealed.union(broken), 0, sync.replacing_sink(replace))
+    assert {k: r.login for (c, k), r in store.items() if c == "users"} == {1: "v3", 2: "v3"}
+    assert "log_id" not in handed["users"] and "error_reason" in handed[sync.DEAD_LETTERS]
+
+
+def test_text_topics_refuse_line_breaks(spark, tmp_path):
+    split = spark.createDataFrame([('{"a":1,\n"b":2}',)], "value string")
+    with pytest.raises(Exception, match="line break"):
+        topics.publish_topic(split, "t", "text", path=str(tmp_path))
+    topics.publish_topic(split, "t", "parquet", path=str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/t").first().value == '{"a":1,\n"b":2}'
+
+
 def test_unknown_tables_are_kept_aside(spark, tmp_path):
     root = str(tmp_path)
     orders = views.shop_messages(spark, SF_DIR, "orders").limit(3).select("value")
