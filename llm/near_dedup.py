@@ -250,15 +250,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = land(
         texts.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "sets"
     )
-    links, roots = None, None
+    roots = None
     for limit in ROUNDS:
         proposed = land(_labelled(members, roots).mapInArrow(_proposer(limit), "a binary, b binary").distinct(), "proposed")
         if not proposed.count():
             drop(proposed)
             break
         confirmed = land(_confirmed(proposed, sets), "links")
-        links = confirmed if links is None else links.union(confirmed)
-        roots = components(links)
+        if roots is None:
+            roots = components(confirmed)
+        elif confirmed.head(1):  # else the components stay as they are
+            # their stars stand for the links of earlier rounds: as connected, and short
+            roots = components(confirmed.union(roots.select("node", "root")))
     named = classes.select("node", "rep")
     if roots is None:
         named = named.select("node", F.col("rep").alias("component_id"))
