@@ -14,13 +14,25 @@ share. A text has two figures, both divided by its number of words: the sum of w
 speaks for the toxic class and that of what speaks against it. Their weights are fitted,
 for a text in a language that few toxic texts are in has much against it in every word.
 
-*Bound.* A word keeps an entry if it makes up 1 / WORDS of a class or more (and occurs
-twice), a pair likewise with PAIRS; there are at most 2 * WORDS and 2 * PAIRS of them
-however large the corpus is. Everything rarer is the unknown word, or backs off.
+*Rare words and pairs.* Words that make up less than 1 / WORDS of a class are one unknown
+word in the bigrams, pairs below 1 / PAIRS back off there. Their own counts are all kept, in
+tables on shared storage that grow with the labelled texts, and correct the evidence: with
+r the toxic share of all rare words (of all rare pairs where the word is not rare),
+
+    s(w)   = (n_toxic(w) + PSEUDO * r) / (n(w) + PSEUDO)           r if w is not rare
+    s(v w) = (n_toxic(v w) + PSEUDO * s(w)) / (n(v w) + PSEUDO)
+
+adds logit s(v w) - logit r. So a rare expression counts as often as it was met, once
+included, in a corpus of any size.
+
+*Scale.* Tasks hold 2 * WORDS words and 2 * PAIRS pairs at most, and a filter of
+``FILTER_BITS`` bits that knows what was surely never met. Other rare words and pairs are
+asked from the tables, each once for a chunk of about ``CHUNK_BYTES`` of text.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,10 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.storage import drop, land, small_if
-from llm.text import PUNCTUATION, blocks, word_hashes, words
+from llm.text import PUNCTUATION, blocks, mix, word_hashes, words
 
 WORDS = 1 << 16
 PAIRS = 1 << 17
+#: Occurrences that the share of all rare words weighs as many as.
+PSEUDO = 10.0
+FILTER_BITS = 1 << 26
+CHUNK_BYTES = 8 << 20
 DISCOUNT = 0.75
 #: Discounts of single words, toxic and ordinary: a word met a few times in the smaller
 #: class says nothing about it.
@@ -60,6 +76,17 @@ class Model:
     pair_ordinary: np.ndarray
 
 
+@dataclass
+class Rare:
+    """Counts of all rare words and pairs (key, toxic, ordinary), their toxic shares, and
+    a filter of the keys."""
+
+    words: DataFrame
+    pairs: DataFrame
+    shares: tuple[float, float]
+    bits: np.ndarray
+
+
 def _word_ids(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Places in the vocabulary; its length stands for any other word."""
     at = np.searchsorted(vocabulary, hashes)
@@ -110,6 +137,16 @@ def _counter(keys_of):
     return run
 
 
+def _raw_pairs(block) -> tuple[np.ndarray, np.ndarray]:
+    """Per word: its own hash, and that of it with the word before in its row."""
+    found = words(block, PUNCTUATION)
+    right = word_hashes(block, found, lower=True)
+    left = np.concatenate((right[:1], right[:-1]))
+    head = np.ones(len(right), dtype=bool)
+    head[1:] = found.row[1:] != found.row[:-1]
+    return right, mix(np.where(head, np.uint64(0), left), 1) ^ right
+
+
 def _hashed_words(block):
     found = words(block, PUNCTUATION)
     return found.row, word_hashes(block, found, lower=True)
@@ -129,7 +166,22 @@ def _frequent(counts: DataFrame, totals, most: int) -> DataFrame:
     return counts.where((F.col("toxic") >= toxic) | (F.col("ordinary") >= ordinary))
 
 
-def fit(texts: DataFrame) -> Model | None:
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bit for every key, at the key modulo the number of bits."""
+    place = F.shiftright(F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)), 6).alias("place")
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit")
+    found = keys.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    out[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _may_be(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = (keys & np.uint64(FILTER_BITS - 1)) >> np.uint64(6)
+    return (bits[place] >> (keys & np.uint64(63))) & np.uint64(1) > 0
+
+
+def fit(texts: DataFrame) -> tuple[Model, Rare] | None:
     """Model of all rows of ``texts`` (``text``, ``toxic``); None unless both classes
     have words."""
     spark = texts.sparkSession
@@ -138,8 +190,8 @@ def fit(texts: DataFrame) -> Model | None:
     if not all(totals):
         drop(singles)
         return None
-    known = _frequent(singles, totals, WORDS).toPandas()
-    drop(singles)
+    frequent = _frequent(singles, totals, WORDS)
+    known = frequent.toPandas()
     hashes = known["key"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
     vocabulary, v = hashes[order], len(hashes)
@@ -174,39 +226,141 @@ def fit(texts: DataFrame) -> Model | None:
         used = np.bincount(ahead, weights=high, minlength=v + 2)
         pair.append(high)
         rest.append(np.maximum(1 - used, 1e-9))
-    return Model(vocabulary, *single, *rest, keys, *pair)
-
-
-def evidence(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Mean log ratio for and against of every text, and its words; 0 without words."""
-    total, count = np.zeros((len(column), 2)), np.zeros(len(column), dtype=np.int64)
-    for block in blocks(column):
-        row, right, left, key = _pair_keys(model.vocabulary, block)
-        at = np.minimum(np.searchsorted(model.pairs, key), max(len(model.pairs) - 1, 0))
-        hit = model.pairs[at] == key if len(model.pairs) else np.zeros(len(key), dtype=bool)
-        toxic = model.rest_toxic[left] * model.toxic[right]
-        ordinary = model.rest_ordinary[left] * model.ordinary[right]
-        toxic[hit] += model.pair_toxic[at[hit]]
-        ordinary[hit] += model.pair_ordinary[at[hit]]
-        ratio = np.log(toxic) - np.log(ordinary)
-        here = slice(block.first, block.first + block.rows)
-        total[here, 0] = np.bincount(row, weights=np.maximum(ratio, 0), minlength=block.rows)
-        total[here, 1] = np.bincount(row, weights=np.minimum(ratio, 0), minlength=block.rows)
-        count[here] = np.bincount(row, minlength=block.rows)
-    return total / np.maximum(count, 1)[:, None], count
-
-
-def _measured(docs: DataFrame, model: Model, carried: str) -> DataFrame:
-    """``docs`` (one column and ``text``) with the evidence in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
+    model = Model(vocabulary, *single, *rest, keys, *pair)
+    rare_words = land(singles.join(F.broadcast(frequent.select("key")), "key", "left_anti"), "rare_words")
+    drop(singles)
+    shared_model = spark.sparkContext.broadcast(model)
+
+    def rare_keys(block):
+        row, rare, _, _ = _coarse(shared_model.value, block)
+        return row[rare], _raw_pairs(block)[1][rare]
+
+    rare_pairs = land(_counted(texts, rare_keys), "rare_pairs")
+    shares = []
+    for table in (rare_words, rare_pairs):
+        toxic, ordinary = (x or 0 for x in table.agg(F.sum("toxic"), F.sum("ordinary")).first())
+        shares.append((toxic + 1) / (toxic + ordinary + 2))
+    bits = _filter(rare_words.select("key").union(rare_pairs.select("key")))
+    return model, Rare(rare_words, rare_pairs, tuple(shares), bits)
+
+
+def _coarse(model: Model, block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: its row, whether its pair is rare or it is, and its log ratio."""
+    row, right, left, key = _pair_keys(model.vocabulary, block)
+    at = np.minimum(np.searchsorted(model.pairs, key), max(len(model.pairs) - 1, 0))
+    hit = model.pairs[at] == key if len(model.pairs) else np.zeros(len(key), dtype=bool)
+    toxic = model.rest_toxic[left] * model.toxic[right]
+    ordinary = model.rest_ordinary[left] * model.ordinary[right]
+    toxic[hit] += model.pair_toxic[at[hit]]
+    ordinary[hit] += model.pair_ordinary[at[hit]]
+    unknown = len(model.vocabulary)
+    return row, ~hit | (right == unknown) | (left == unknown), right == unknown, np.log(toxic) - np.log(ordinary)
+
+
+def correction(shares: tuple[float, float], rare: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """What the counts of rare words and pairs (toxic, ordinary) add to the log ratio."""
+    base = np.where(rare, *shares)
+    own = np.where(rare, (word[:, 0] + PSEUDO * base) / (word.sum(axis=1) + PSEUDO), base)
+    both = (pair[:, 0] + PSEUDO * own) / (pair.sum(axis=1) + PSEUDO)
+    return np.log(both / (1 - both)) - np.log(base / (1 - base))
+
+
+def _add(total: np.ndarray, row: np.ndarray, ratio: np.ndarray) -> None:
+    total[:, 0] += np.bincount(row, weights=np.maximum(ratio, 0), minlength=len(total))
+    total[:, 1] += np.bincount(row, weights=np.minimum(ratio, 0), minlength=len(total))
+
+
+CHUNK = {
+    "carried": "long", "x": "double", "y": "double", "n": "long", "row": "int", "ratio": "float", "word": "int",
+    "pair": "int", "words": "long", "pairs": "long",
+}
+
+
+def _chunk(texts: list, unsettled: list) -> pa.RecordBatch:
+    """One row of lists: the texts with their sums, and what depends on the tables."""
+    carried = pa.concat_arrays([x[0] for x in texts])
+    total, n = (np.concatenate([x[i] for x in texts]) for i in (1, 2))
+    row, ratio, rare, word, pair = (np.concatenate(x) for x in zip(*unsettled, strict=True))
+    own_words, at = np.unique(word[rare], return_inverse=True)
+    code = np.full(len(word), -1)
+    code[rare] = at
+    own_pairs, of_pair = np.unique(pair, return_inverse=True)
+    lists = [
+        carried, total[:, 0], total[:, 1], n, row.astype(np.int32), ratio.astype(np.float32), code.astype(np.int32),
+        of_pair.astype(np.int32), own_words.view(np.int64), own_pairs.view(np.int64),
+    ]
+    chunk = int.from_bytes(os.urandom(8), "little", signed=True)
+    lists = [x if isinstance(x, pa.Array) else pa.array(x) for x in lists]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+    return pa.RecordBatch.from_arrays([pa.array([chunk]), *lists], names=["chunk", *CHUNK])
+
+
+def _opener(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, bits = shared.value
+        texts, unsettled, rows, size = [], [], 0, 0
         for batch in batches:
-            mean, count = evidence(shared.value, batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mean[:, 0]), pa.array(mean[:, 1]), pa.array(count)], names=["c", "x", "y", "n"])
+            for block in blocks(batch.column(1)):
+                row, tail, rare, ratio = _coarse(model, block)
+                word, pair = _raw_pairs(block)
+                tail &= _may_be(bits, pair) | (rare & _may_be(bits, word))  # else it was never met
+                total = np.zeros((block.rows, 2))
+                _add(total, row[~tail], ratio[~tail])
+                carried = batch.column(0).slice(block.first, block.rows).cast(pa.int64())
+                texts.append((carried, total, np.bincount(row, minlength=block.rows)))
+                unsettled.append((row[tail] + rows, ratio[tail], rare[tail], word[tail], pair[tail]))
+                rows += block.rows
+                size += len(block.data) + block.rows
+                if size >= CHUNK_BYTES:
+                    yield _chunk(texts, unsettled)
+                    texts, unsettled, rows, size = [], [], 0, 0
+        if rows:
+            yield _chunk(texts, unsettled)
+
+    return run
+
+
+MEASURED = "carried long, speaks_for double, speaks_against double, n_words long"
+
+
+def _closer(shares: tuple[float, float]):
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        key = answers.column("key").to_numpy()
+        is_pair = answers.column("is_pair").to_numpy()
+        count = np.stack([answers.column(c).to_numpy() for c in ("toxic", "ordinary")], axis=1).astype(float)
+        c = {x: chunks.column(x)[0].values for x in CHUNK}  # a chunk is one row
+        found = []
+        for name, own in (("words", ~is_pair), ("pairs", is_pair)):
+            asked = c[name].to_numpy()
+            of = np.zeros((len(asked) + 1, 2))  # the last is for words that are not rare
+            order = np.argsort(asked)
+            of[order[np.searchsorted(asked, key[own], sorter=order)]] = count[own]
+            found.append(of)
+        word = c["word"].to_numpy()
+        extra = correction(shares, word >= 0, found[0][word], found[1][c["pair"].to_numpy()])
+        total = np.stack([c["x"].to_numpy(), c["y"].to_numpy()], axis=1)
+        _add(total, c["row"].to_numpy(), c["ratio"].to_numpy() + extra)
+        n = c["n"].to_numpy()
+        mean = total / np.maximum(n, 1)[:, None]
+        return pa.table([c["carried"], pa.array(mean[:, 0]), pa.array(mean[:, 1]), pa.array(n)], names=[x.split()[0] for x in MEASURED.split(", ")])
+
+    return run
+
 
-    name = docs.columns[0]
-    return docs.mapInArrow(run, f"`{name}` {carried}, speaks_for double, speaks_against double, n_words long")
+def _measured(docs: DataFrame, model: Model, rare: Rare, carried: str) -> DataFrame:
+    """``docs`` (one column and ``text``) with the mean evidence in place of the text."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, rare.bits))
+    kind = ", ".join(["chunk long", *(f"{x} array<{t}>" for x, t in CHUNK.items())])
+    chunks = land(docs.mapInArrow(_opener(shared), kind), "chunks")
+    found = None
+    for name, table in (("words", rare.words), ("pairs", rare.pairs)):
+        asked = chunks.select(F.col("chunk").alias("of"), F.explode(name).alias("key")).join(table, "key")
+        asked = asked.select("of", "key", F.lit(name == "pairs").alias("is_pair"), "toxic", "ordinary")
+        found = asked if found is None else found.union(asked)
+    closed = chunks.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_closer(rare.shares), MEASURED)
+    out = land(closed, "measured")
+    drop(chunks)
+    return out.withColumn("carried", F.col("carried").cast(carried)).withColumnRenamed("carried", docs.columns[0])
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -217,13 +371,17 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     centre = np.append(0.0, np.array(PRIOR) * scale)
     held = np.append(1e-9, 1 / (np.array(PRIOR_SPREAD) * scale) ** 2)
     w = centre.copy()
+    loss = lambda w: np.logaddexp(0, z @ w).sum() - y @ (z @ w) + (held * (w - centre) ** 2).sum() / 2
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         slope = z.T @ (p - y) + held * (w - centre)
         curve = (z.T * (p * (1 - p))) @ z + np.diag(held + 1e-6)
         step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+        part, now = 1.0, loss(w)
+        while part > 1e-6 and loss(w - part * step) > now:  # a whole step may overshoot
+            part /= 2
+        w -= part * step
+        if np.abs(part * step).max() < 1e-8:
             break
     w[1:] /= scale
     w[1] = max(w[1], 0)
@@ -246,16 +404,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     n, share = marks.agg(F.count(F.lit(1)), F.avg("toxic")).first()
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * min(0.2, CALIBRATION_ROWS / max(n, 1)))
     taught = given.join(small_if(marks), "doc_id").select("text", "toxic", apart.alias("apart"))
-    model = fit(taught.where("not apart").select("text", "toxic"))
-    if model is None:
+    fitted = fit(taught.where("not apart").select("text", "toxic"))
+    if fitted is None:
         scored = given.select("doc_id", F.lit(float(share or 0)).alias("score"), F.lit(0).cast("long").alias("n_words"))
     else:
-        sample = _measured(taught.where("apart").select(F.col("toxic"), "text"), model, "int").toPandas()
+        sample = _measured(taught.where("apart").select(F.col("toxic"), "text"), *fitted, "int").toPandas()
         y = sample["toxic"].to_numpy(dtype=float)
         x = sample[["speaks_for", "speaks_against"]].to_numpy()
         w = logistic(x, y)
         odds = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("speaks_for") + F.lit(float(w[2])) * F.col("speaks_against")
-        scored = _measured(given, model, "long").select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"), "n_words")
+        scored = _measured(given, *fitted, "long").select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"), "n_words")
+        drop(fitted[1].words, fitted[1].pairs)
     drop(marks)
     return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words")
 

@@ -2,14 +2,19 @@
 
 import math
 import random
+import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from llm import mixing
+from llm import toxicity as tox
 from llm.chat import TURNS, conversations, preferences, reply_pairs
 from llm.language import identify
 from llm.quality import chi_square, chi_square_quantile, quality
+from llm.text import blocks
 from llm.toxicity import fold, toxicity, without_toxic
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -46,6 +51,47 @@ def test_toxic_texts_score_high(spark, speech):
     assert left.columns == docs.columns and left.where("doc_id is null").count() == 1
 
 
+def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, monkeypatch):
+    split = lambda t: re.findall(r"[a-z]+", (t or "").lower())
+    pairs_of = lambda t: list(zip([None, *split(t)], split(t), strict=False))
+    taught = [(t + (" vile rot" if i in (6, 12) else " once" if i == 18 else ""), int(bad)) for i, t, bad in speech[:80]]
+    asked = [t for _, t, _ in speech[80:110]] + ["vile rot", "the vile rot", "once", "never met", "rot vile rot", "", None]
+    table = spark.createDataFrame(taught, "text string, toxic int")
+    docs = spark.createDataFrame(list(enumerate(asked)), "i long, text string")
+    monkeypatch.setattr(tox, "WORDS", 4)  # tasks hold a few words and no pair
+    monkeypatch.setattr(tox, "PAIRS", 1)
+    model, rare = tox.fit(table)
+    single, double = (Counter(), Counter()), (Counter(), Counter())
+    for text, toxic in taught:
+        single[1 - toxic].update(split(text))
+        double[1 - toxic].update(pairs_of(text))
+    held = {w for w in single[0] + single[1] if any(s[w] >= max(2, s.total() / 4) for s in single)}
+    got = {r["key"]: (r.toxic, r.ordinary) for r in rare.pairs.collect()}
+    assert len(model.vocabulary) == len(held) and not len(model.pairs)
+    assert sorted(got.values()) == sorted((double[0][p], double[1][p]) for p in double[0] + double[1])
+    assert rare.words.count() == len(single[0] + single[1]) - len(held)
+    shares = []
+    for a, b in ([sum(s[w] for w in s if w not in held) for s in single], [s.total() for s in double]):
+        shares.append((a + 1) / (a + b + 2))
+    assert rare.shares == pytest.approx(shares)
+    logit = lambda q: math.log(q / (1 - q))
+    rows = {r.i: r for r in tox._measured(docs, model, rare, "long").collect()}
+    assert len(rows) == len(asked)
+    for i, text in enumerate(asked):
+        block = next(blocks(pa.array([text or ""])))
+        want = float(tox._coarse(model, block)[3].sum())
+        for v, w in pairs_of(text):
+            base = own = shares[0] if w not in held else shares[1]
+            if w not in held:
+                own = (single[0][w] + tox.PSEUDO * base) / (single[0][w] + single[1][w] + tox.PSEUDO)
+            n = double[0][v, w], double[1][v, w]
+            want += logit((n[0] + tox.PSEUDO * own) / (sum(n) + tox.PSEUDO)) - logit(base)
+        assert rows[i].n_words == len(split(text))
+        assert (rows[i].speaks_for + rows[i].speaks_against) * max(len(split(text)), 1) == pytest.approx(want, abs=1e-4)
+    total = lambda t: rows[asked.index(t)].speaks_for + rows[asked.index(t)].speaks_against
+    assert total("vile rot") > total("once") > total("never met")
+
+
 def test_toxicity_without_anything_to_learn(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     for rows in ([], [(1, 0)], [(1, 1)], [(7, 1)]):
