@@ -17,8 +17,9 @@ byte of every bin; a pair at 0.75 is passed over with a probability below 1e-6.
 from the start. Buckets are cut into blocks of about ``BLOCK`` classes; a block proposes a
 spanning forest of its likeliest pairs, no more edges than classes. Components of the
 confirmed edges are then labels, and later rounds propose pairs across labels only, the
-last one all that are left, so a link is lost to no limit. In a bucket of several blocks,
-classes outside its largest label meet every block from the second round on.
+last one all that are left, so a link is lost to no limit. From the second round on, the
+largest label of a bucket and its other classes are blocks of their own, and a task holds
+the tile of two blocks, so each pair of a bucket meets in one tile.
 """
 
 from __future__ import annotations
@@ -143,9 +144,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _proposer(limit: int | None):
-    """Proposes pairs of nodes of the same (bucket, block) with different labels.
+    """Proposes pairs of nodes of the same (bucket, block) with different labels, and of
+    different sides unless side is 2.
 
-    Rows come sorted by bucket and block; columns: bucket, block, node, label, sig.
+    Rows come sorted by bucket, block and side; columns: bucket, block, node, label, sig, side.
     """
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
@@ -158,6 +160,7 @@ def _proposer(limit: int | None):
         nodes = table.column("node").to_pylist()
         label = np.unique(np.array(table.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(n, -1)
+        side = table.column("side").to_numpy()
         size = np.bincount(group)
         last = (np.cumsum(size) - 1)[group]
         left, right, equal = [], [], []
@@ -165,7 +168,7 @@ def _proposer(limit: int | None):
         for step in range(1, int(size.max(initial=1))):
             at = at[at + step <= last[at]]
             other = at + step
-            take = label[at] != label[other]
+            take = (label[at] != label[other]) & ((side[at] != side[other]) | (side[at] == 2))
             i, j = at[take], other[take]
             same = (sig[i] == sig[j]).sum(axis=1, dtype=np.int32)
             good = same >= LEAST_EQUAL
@@ -293,19 +296,38 @@ def _members(classes: DataFrame) -> DataFrame:
 def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Blocks with at least two labels, sorted for the proposer."""
     if roots is None:
-        rows = members.select("bucket", "block", "node", F.col("node").alias("label"), "sig")
+        rows = members.select("bucket", "block", "node", F.col("node").alias("label"), "sig", F.lit(2).alias("side"))
     else:
         known = land(members.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"), "labelled")
         share = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
         open_ = land(
-            share.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("bucket", F.col("top.label").alias("main")),
+            share.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels"), F.sum("n").alias("size")).where("labels > 1")
+            .select("bucket", F.col("top.label").alias("main"), F.col("top.n").alias("n_main"), (F.col("size") - F.col("top.n")).alias("n_apart")),
             "open",
         )
         rows = known.join(open_, "bucket")
-        apart = (F.col("n_blocks") > 1) & (F.col("label") != F.col("main"))
-        rows = rows.withColumn("block", F.explode(F.when(apart, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array("block"))))
-        rows = rows.select("bucket", "block", "node", "label", "sig")
-    return rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "node")
+        rows = _tiles(rows)
+    return rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "side", "node")
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows (``bucket, node, label, sig, main, n_main, n_apart``) in every tile of two blocks
+    that they belong to: ``block`` names the tile, ``side`` 0 or 1 the block in it.
+
+    The main label's classes are in ``ceil(n_main / BLOCK)`` blocks, the others in blocks
+    numbered on from there; no tile is of two blocks of the main label.
+    """
+    n_main, n_apart = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("n_main", "n_apart"))
+    is_main = F.col("label") == F.col("main")
+    place = F.xxhash64("bucket", "node")
+    own = F.when(is_main, F.pmod(place, n_main)).otherwise(n_main + F.pmod(place, n_apart))
+    n = n_main + n_apart
+    # a class of the main label meets the blocks of the others only
+    others = F.when(is_main, F.sequence(n_main, n - 1)).otherwise(F.sequence(F.lit(0).cast("long"), n - 1))
+    met = rows.withColumn("own", own).withColumn("n", n).withColumn("other", F.explode(others))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(low == high, 2).when(F.col("own") == low, 0).otherwise(1)
+    return met.select("bucket", (low * F.col("n") + high).alias("block"), "node", "label", "sig", side.alias("side"))
 
 
 def _confirmed(proposed: DataFrame, sets: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from llm import decontam
+from llm import decontam, near_dedup
 from llm.components import components
 from llm.decontam import common_subsequence, find_leaks, without_leaks
 from llm.near_dedup import COORDINATES, near_duplicates, one_of_each, sketch
@@ -53,6 +53,28 @@ def test_near_duplicates_equal_brute_force(spark, texts):
     assert all(r.n_shingles == sizes[r.doc_id] and r.kept == (want[r.doc_id] == r.doc_id) for r in rows)
 
 
+@pytest.mark.parametrize("n_main", [0, 1, 6])
+def test_tiles_are_small_and_each_pair_meets_once(spark, monkeypatch, n_main):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    nodes = [(7, bytes([i]), b"main" if i < n_main else bytes([i])) for i in range(40)]
+    main = b"main" if n_main > 1 else bytes([39])
+    open_ = [(7, main, max(n_main, 1), 40 - max(n_main, 1))]
+    nodes = [(b, k, main if n_main > 1 and i < n_main else k) for i, (b, k, _) in enumerate(nodes)]
+    members = spark.createDataFrame([(*x, bytes(128)) for x in nodes], "bucket long, node binary, label binary, sig binary")
+    rows = near_dedup._tiles(members.join(spark.createDataFrame(open_, "bucket long, main binary, n_main long, n_apart long"), "bucket"))
+    tiles, met = {}, []
+    for r in rows.collect():
+        tiles.setdefault(r.block, []).append((bytes(r.node), bytes(r.label), r.side))
+    for tile in tiles.values():
+        assert len(tile) <= 2 * 12  # blocks are dealt by a hash, 4 on average
+        met += [frozenset((a, b)) for (a, la, x), (b, lb, y) in itertools.combinations(tile, 2) if la != lb and (x != y or x == 2)]
+    label = {k: x for _, k, x in nodes}
+    want = {frozenset(p) for p in itertools.combinations(label, 2) if label[p[0]] != label[p[1]]}
+    assert len(met) == len(set(met)) and set(met) == want
+    one = rows.coalesce(1).sortWithinPartitions("bucket", "block", "side", "node").mapInArrow(near_dedup._proposer(None), "a binary, b binary").collect()
+    assert len(one) == len(want)  # equal sketches: each pair is proposed, once
+
+
 def test_null_and_repeated_ids(spark):
     same = "a b c d e f g h"
     docs = spark.createDataFrame([(None, same, "n", "l"), (3, same, "n", "l"), (3, same, "n", "l"), (5, same, "n", "l"), (None, "alone here", "n", "l"), (6, None, "n", "l")], KIND)
