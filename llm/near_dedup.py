@@ -254,10 +254,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "sets"
     )
     roots = None
-    for limit in ROUNDS:
-        proposed = land(_labelled(members, roots).mapInArrow(_proposer(limit), "a binary, b binary").distinct(), "proposed")
+    for k, limit in enumerate(ROUNDS):
+        proposed = land(_labelled(members, roots, k == 0).mapInArrow(_proposer(limit), "a binary, b binary").distinct(), "proposed")
         if not proposed.count():
             drop(proposed)
+            if k == 0 and members.where("n_blocks > 1").head(1):
+                continue  # the blocks of a bucket have not met yet
             break
         confirmed = land(_confirmed(proposed, sets), "links")
         if roots is None:
@@ -293,12 +295,16 @@ def _members(classes: DataFrame) -> DataFrame:
     return land(met.join(classes.select("node", "rep", "sig"), "node"), "members")
 
 
-def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Blocks with at least two labels, sorted for the proposer."""
-    if roots is None:
+def _labelled(members: DataFrame, roots: DataFrame | None, first: bool) -> DataFrame:
+    """Blocks in the first round, then tiles of buckets with at least two labels, sorted for
+    the proposer."""
+    if first:
         rows = members.select("bucket", "block", "node", F.col("node").alias("label"), "sig", F.lit(2).alias("side"))
     else:
-        known = land(members.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"), "labelled")
+        if roots is None:
+            known = members.withColumn("label", F.col("node"))
+        else:
+            known = land(members.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"), "labelled")
         share = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
         open_ = land(
             share.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels"), F.sum("n").alias("size")).where("labels > 1")

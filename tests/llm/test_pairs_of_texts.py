@@ -75,6 +75,13 @@ def test_tiles_are_small_and_each_pair_meets_once(spark, monkeypatch, n_main):
     assert len(one) == len(want)  # equal sketches: each pair is proposed, once
 
 
+def test_links_across_blocks_only(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 0.02)  # two classes are in two of 100 blocks
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = near_duplicates(spark.createDataFrame([(1, f"{base} x", "n", "l"), (2, f"{base} y", "n", "l")], KIND)).collect()
+    assert {r.component_id for r in rows} == {1}
+
+
 def test_null_and_repeated_ids(spark):
     same = "a b c d e f g h"
     docs = spark.createDataFrame([(None, same, "n", "l"), (3, same, "n", "l"), (3, same, "n", "l"), (5, same, "n", "l"), (None, "alone here", "n", "l"), (6, None, "n", "l")], KIND)
