@@ -154,3 +154,22 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert find_leaks(table, benchmark.limit(0)).collect() == [] and find_leaks(table.limit(0), benchmark).collect() == []
     left = without_leaks(table, benchmark)
     assert left.columns == table.columns and left.count() == table.count() - len({d for d, _ in found}) - 1
+
+
+def test_partial_copies_and_changed_ends_are_found(spark):
+    rng = random.Random(12)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
+    say = lambda n: rng.choices(words, k=n)
+    items = [say(59) for _ in range(12)]
+    docs = [(i, " ".join(say(rng.randint(50, 300)))) for i in range(40)]
+    want = set()
+    for k, item in enumerate(items):
+        changed = list(item)
+        for at in [*rng.sample(range(54), 15), 54 + k % 5]:
+            changed[at] = rng.choice(words) + "x"
+        for i, part in ((100 + k, item[:41]), (200 + k, changed)):
+            docs.append((i, " ".join(say(30) + part + say(40))))
+            want.add((i, k))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in find_leaks(table, benchmark).collect()} == want
