@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from llm import chat, decontam, language, mixing, near_dedup, pii, quality, token_counts, token_files, toxicity
+from llm import chat, decontam, language, mixing, near_dedup, pii, quality, repeats, runs, spelling, token_counts, token_files, toxicity
 from llm.oracle import CHAT
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +80,38 @@ def op10_pii(spark, sf_dir):
     return pii.pii_digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def with_planted_runs(batches):
+    """Texts of which a tenth repeats a part of itself to the end, by the document's id."""
+    for batch in batches:
+        texts = []
+        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            code = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+            if code % 10 == 0:
+                parts = (text or "").encode().split()
+                n, g = len(parts), code // 10
+                if n:
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    parts = parts[:a] + [parts[a + i % p] for i in range(n - a)]
+                text = b" ".join(parts).decode()
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, type=pa.string())], names=["doc_id", "text"])
+
+
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    found = runs.periodic_runs(docs.mapInArrow(with_planted_runs, "doc_id long, text string"))
+    return runs.runs_digest(found)
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), drop_every=97)
+
+
+def op13_suffix_dedup(spark, sf_dir):
+    return repeats.repeats_digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -97,6 +131,9 @@ QUERIES = {
         op8_token_files,
         op9_preference_format,
         op10_pii,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_suffix_dedup,
         pipeline,
     )
 }
