@@ -29,7 +29,7 @@ WIDTH = 400
 #: Positions that a string may have around its anchor.
 REACH = 100
 #: Classes of a bucket that one task sorts together; larger buckets are cut.
-BUCKET_CLASSES = 4096
+BUCKET_CLASSES = 1024
 #: Bytes of contexts that are sorted at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -49,10 +49,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     keyed = given.withColumn("text_key", F.unhex(F.md5(F.col("text"))))
-    spans = land(repeated_spans(keyed.select("text_key", "text"), width, bucket_classes), "spans")
-    by_text = spans.groupBy("text_key").agg(F.array_sort(F.collect_set(F.struct("first", "beyond"))).alias("spans"))
-    by_text = land(by_text, "spans")
-    joined = keyed.join(_small(by_text, spans), "text_key", "left")
+    spans = repeated_spans(keyed.select("text_key", "text"), width, bucket_classes)
+    by_text = spans.groupBy("text_key").agg(F.collect_set(F.struct("first", "beyond")).alias("spans"))
+    by_text = land(by_text.mapInArrow(_maximal, by_text.schema), "spans")
+    joined = keyed.join(_small(by_text, by_text.select(F.explode("spans"))), "text_key", "left")
     kind = given.select("doc_id").schema.simpleString()[len("struct<") : -1].replace(":", " ", 1)
     shape = f"{kind}, n_bytes long, spans array<struct<first:long,beyond:long>>, kept binary"
     return joined.select("doc_id", "text", "spans").mapInArrow(_cut, shape)
@@ -382,24 +382,34 @@ def _finer(places: DataFrame, contexts: DataFrame, large: DataFrame, width: int,
 # --- results ------------------------------------------------------------------------
 
 
+_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("beyond", pa.int64())]))
+
+
+def _maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of each text put together where they overlap or touch, in order."""
+    for batch in batches:
+        out = []
+        for listed in batch.column(1):
+            first, beyond = (listed.values.field(name).to_numpy() for name in ("first", "beyond"))
+            order = np.argsort(first, kind="stable")
+            first, reach = first[order], np.maximum.accumulate(beyond[order])
+            head = np.flatnonzero(np.append(True, first[1:] > reach[:-1]))
+            ends = reach[np.append(head[1:], len(reach)) - 1]
+            out.append([{"first": a, "beyond": b} for a, b in zip(first[head].tolist(), ends.tolist())])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, type=_SPANS)], names=["text_key", "spans"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("first", pa.int64()), ("beyond", pa.int64())]))
     for batch in batches:
         sizes, spans, kept = [], [], []
         for text, listed in zip(batch.column(1), batch.column(2)):
-            data = (text.as_py() or "").encode()
-            whole: list[dict] = []
-            for span in listed.as_py() or []:
-                if whole and span["first"] <= whole[-1]["beyond"]:
-                    whole[-1]["beyond"] = max(whole[-1]["beyond"], span["beyond"])
-                else:
-                    whole.append(span)
+            data, whole = (text.as_py() or "").encode(), listed.as_py() or []
             edges = [0, *(x for s in whole for x in (s["first"], s["beyond"])), len(data)]
             sizes.append(len(data))
             spans.append(whole)
             kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, type=pa.int64()), pa.array(spans, type=kind), pa.array(kept, type=pa.binary())],
+            [batch.column(0), pa.array(sizes, type=pa.int64()), pa.array(spans, type=_SPANS), pa.array(kept, type=pa.binary())],
             names=["doc_id", "n_bytes", "spans", "kept"],
         )
 

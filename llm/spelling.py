@@ -29,6 +29,8 @@ from llm.text import Block, blocks, code_points, mix, span_hashes, words
 MIN_LENGTH, MIN_COUNT = 5, 3
 #: A form has at least this many times the occurrences of its variant.
 DOMINANCE = 2
+#: Different words that a task counts before it hands them on.
+HELD_WORDS = 400_000
 _NOT_LETTER = np.array([True, False])
 
 
@@ -41,26 +43,33 @@ def letter_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Words are maximal runs of ``A-Z``, ``a-z`` and U+00C0 to U+00FF; only ``A-Z`` are
     lower-cased. With ``drop_every``, a word of a document whose crc32 of ``<id>:<word>``
     it divides loses the code point at that crc32 modulo its length; a null id loses none.
-    Null and empty texts have no words; repeated rows count again. Words are counted per
-    block of text before they leave a task, so a frequent word is not a hot key.
+    Null and empty texts have no words; repeated rows count again. Words are counted in
+    each task before they leave it, so a frequent word is not a hot key.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for batch in batches:
             ids, texts = batch.columns
             for block in blocks(texts):
-                counts = _count_block(block, ids.slice(block.first, block.rows).to_pylist(), drop_every)
-                kept = {w: n for w, n in counts.items() if len(w) >= min_length}
-                if kept:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(kept)), pa.array(list(kept.values()), type=pa.int64())], names=["word", "n"]
-                    )
+                counts.update(_count_block(block, ids.slice(block.first, block.rows).to_pylist(), drop_every))
+                # a block of text adds at most its own size
+                if len(counts) > HELD_WORDS or block.rows == 1:
+                    yield from _counted(counts, min_length)
+                    counts = Counter()
+        yield from _counted(counts, min_length)
 
     given = docs.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
     counted = given.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= min_count)
 
 
+def _counted(counts: Counter, min_length: int) -> Iterator[pa.RecordBatch]:
+    kept = {w: n for w, n in counts.items() if len(w) >= min_length}
+    if kept:
+        yield pa.RecordBatch.from_arrays([pa.array(list(kept)), pa.array(list(kept.values()), type=pa.int64())], names=["word", "n"])
+
+
 def _count_block(block: Block, ids: list, drop_every: int | None) -> Counter:
     points, offsets = code_points(block)
     upper = (points >= 0x41) & (points <= 0x5A)
@@ -134,8 +143,9 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def trie(vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The edge table, and where every word stands at its first node.
 
-    Edges are ``node, label, child, word, n``: the child is null where the label ends
-    ``word``. Start states are ``word, n, rest, node, edits``.
+    Edges are ``node, label, child, near, near_n, ahead``: the child is null where the label
+    ends the word ``near``; ``ahead`` has the first characters of the child's edges, and
+    ``END`` if a word ends there. Start states are ``word, n, rest, node, edits``.
     """
     prefixes = land(vocabulary.select("word", "n").mapInArrow(_prefixes, "word string, n long, backwards boolean, depth int, node long, behind int"), "prefixes")
     parting = prefixes.groupBy("node").agg(F.min("behind").alias("low"), F.max("behind").alias("high")).where("low <> high")
@@ -156,12 +166,23 @@ def trie(vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(leaf, F.col("word")).alias("near"),
         F.when(leaf, F.col("n")).alias("near_n"),
     ).distinct()
+    edges = land(edges, "edges")
+    # what may be read behind an edge, so that states without a way on are not made
+    behind = edges.groupBy("node").agg(F.array_join(F.collect_set(_first("label")), "").alias("ahead"))
+    edges = edges.join(behind.withColumnRenamed("node", "child"), "child", "left")
     start = F.get("nodes", F.lit(0))
     states = paths.select("word", "n", F.substring(F.col("read"), start["depth"] + 1, F.char_length("read")).alias("rest"), start["node"].alias("node"), F.lit(0).alias("edits"))
     return land(edges, "edges"), states
 
 
 REPLACED, DELETED = 1, 2
+#: Stands for the end of a word among the characters of words.
+END = "."
+
+
+def _first(text, at=1):
+    """The character at a place, or ``END`` behind the last."""
+    return F.when(F.char_length(text) >= at, F.substring(text, at, 1)).otherwise(F.lit(END))
 
 
 def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
@@ -172,21 +193,27 @@ def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
     tail, size = F.substring(rest, F.lit(2), F.char_length(rest)), F.char_length(label)
     own = F.substring(rest, 1, 1) == F.substring(label, 1, 1)
 
-    def reads(text, path):
-        return F.when(leaf, text == path).otherwise(F.startswith(text, path))
+    def reads(text, path, path_size):
+        goes_on = F.startswith(text, path) & F.contains("ahead", _first(text, path_size + 1))
+        return F.when(leaf, text == path).otherwise(goes_on)
 
     def after(text, skipped, edits):
         left = F.substring(text, skipped + 1, F.char_length(text))
-        return F.struct(left.alias("rest"), F.lit(edits).alias("edits") if isinstance(edits, int) else edits.alias("edits"))
+        return F.struct(left.alias("rest"), edits.alias("edits"))
 
     fresh, some = F.col("edits") == 0, F.char_length(rest) > 0
-    outcomes = [
-        F.when(fresh & own & some & ~leaf, after(rest, size, 0)),
-        F.when(fresh & ~own & some & (size > 0) & reads(tail, F.substring(label, F.lit(2), size)), after(tail, size - 1, REPLACED)),
-        F.when(fresh & ~own & some & reads(tail, label), after(tail, size, DELETED)),
-        F.when(~fresh & reads(rest, label), after(rest, size, F.col("edits"))),
-    ]
-    met = states.join(edges, "node").withColumn("_next", F.explode(F.array_compact(F.array(*outcomes))))
+    goes = fresh & own & some & ~leaf
+    replaced = fresh & ~own & some & (size > 0) & reads(tail, F.substring(label, F.lit(2), size), size - 1)
+    deleted = fresh & ~own & some & reads(tail, label, size)
+    follows = ~fresh & reads(rest, label, size)
+    outcomes = F.array(
+        F.when(goes, after(rest, size, F.lit(0))),
+        F.when(replaced, after(tail, size - 1, F.lit(REPLACED))),
+        F.when(deleted, after(tail, size, F.lit(DELETED))),
+        F.when(follows, after(rest, size, F.col("edits"))),
+    )
+    met = states.join(edges, "node").where(goes | replaced | deleted | follows)
+    met = met.withColumn("_next", F.explode(F.array_compact(outcomes)))
     return met.select("word", "n", "_next.rest", F.col("child").alias("node"), "_next.edits", "near", "near_n")
 
 
