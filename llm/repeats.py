@@ -74,38 +74,56 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, bucket_classes: int = B
     again = land(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("bucket"), "buckets")
     places = land(each.join(small_if(again), "bucket"), "places")
     drop(found, again)
-    spans, contexts = None, None
-    while True:
-        one = F.min(F.struct("text_key", "at", "before", "size")).alias("one")
-        classes = land(places.groupBy("bucket", "context").agg(F.count(F.lit(1)).alias("met"), one), "classes")
-        buckets = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_classes"))
-        buckets = land(buckets.where("n_classes > 1"), "buckets")
-        if contexts is None:
-            ones = land(classes.join(small_if(buckets), "bucket").select("bucket", "context", "one.*"), "ones")
-            contexts = land(_contexts(texts, ones), "contexts")
-            drop(ones)
-        # a class met twice covers its whole context
-        no_end = F.lit(None).cast("long")
-        whole = classes.where("met > 1").select("bucket", "context", no_end.alias("low"), no_end.alias("high"))
-        sortable = contexts.join(small_if(buckets.where(F.col("n_classes") <= bucket_classes)), "bucket")
-        sortable = sortable.select("bucket", "context", "before", "bytes").repartition("bucket").sortWithinPartitions("bucket")
-        ranges = sortable.mapInArrow(_sorter(width, reach), "bucket long, context long, low long, high long")
-        marks = land(whole.unionByName(ranges), "marks")
-        covered = _covered(places, marks, width)
-        spans = covered if spans is None else spans.unionByName(covered)
-        large = buckets.where(F.col("n_classes") > bucket_classes).select("bucket")
-        if reach == 1 or large.isEmpty():
-            return spans
-        reach, places, contexts = _finer(places, contexts, large, width, reach)
+    one = F.min(F.struct("text_key", "at", "before", "size")).alias("one")
+    classes = land(places.groupBy("bucket", "context").agg(F.count(F.lit(1)).alias("met"), one), "classes")
+    several = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    ones = land(classes.join(small_if(land(several, "buckets")), "bucket").select("bucket", "context", "met", "one.*"), "ones")
+    contexts = land(_contexts(texts, ones), "contexts")
+    drop(ones)
+    whole = _whole(classes.select("bucket", "context", "met", "one.before", "one.size"), width)
+    marks = land(whole.unionByName(class_marks(contexts, width, reach, bucket_classes)), "marks")
+    return _covered(places, marks, width)
+
+
+def _whole(classes: DataFrame, width: int) -> DataFrame:
+    """Marks of classes that are met twice: all strings of their contexts."""
+    twice = classes.where("met > 1")
+    high = F.col("size") - F.col("before") - width
+    return twice.select("bucket", "context", (-F.col("before")).cast("long").alias("low"), high.cast("long").alias("high"))
+
+
+def class_marks(contexts: DataFrame, width: int, reach: int, bucket_classes: int) -> DataFrame:
+    """``bucket, context, low, high``: ranges of first bytes, counted from the anchor, of
+    strings that stand in two classes of a bucket.
+
+    ``contexts`` is landed and has ``bucket, context, met, before, bytes``, one row a class.
+    A bucket of more than ``bucket_classes`` is cut into parts of the reach; what is found
+    in a part holds for the classes that the part's contexts come from.
+    """
+    buckets = land(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_classes")).where("n_classes > 1"), "buckets")
+    sortable = contexts.join(small_if(buckets.where(F.col("n_classes") <= bucket_classes)), "bucket")
+    sortable = sortable.select("bucket", "context", "before", "bytes").repartition("bucket").sortWithinPartitions("bucket")
+    marks = sortable.mapInArrow(_sorter(width, reach), "bucket long, context long, low long, high long")
+    large = buckets.where(F.col("n_classes") > bucket_classes).select("bucket")
+    if reach == 1 or large.isEmpty():
+        return marks
+    finer = -(-reach // 5)
+    given = contexts.join(small_if(large), "bucket").select("bucket", "context", "met", "before", "bytes")
+    parts = land(given.mapInArrow(_splitter(width, reach, finer), _PARTS), "parts")
+    merged = parts.groupBy("bucket", "context").agg(F.sum("met").alias("met"), F.first("before").alias("before"), F.first("bytes").alias("bytes"))
+    merged = land(merged, "contexts")
+    whole = _whole(merged.withColumn("size", F.length("bytes")), width)
+    found = land(whole.unionByName(class_marks(merged, width, finer, bucket_classes)), "marks")
+    back = parts.select("bucket", "context", "old", "old_class", "moved").join(small_if(found), ["bucket", "context"])
+    return marks.unionByName(
+        back.select(F.col("old").alias("bucket"), F.col("old_class").alias("context"), (F.col("low") + F.col("moved")).alias("low"), (F.col("high") + F.col("moved")).alias("high"))
+    )
 
 
 def _covered(places: DataFrame, marks: DataFrame, width: int) -> DataFrame:
-    """The bytes of all places of a marked class. ``low`` to ``high`` are the first bytes
-    of repeated strings, counted from the anchor; null stands for the whole context."""
+    """The bytes of the marked strings at all places of a class."""
     met = places.join(small_if(marks), ["bucket", "context"])
-    begin = F.col("at") - F.col("before")
-    first = F.coalesce(F.col("at") + F.col("low"), begin).cast("long")
-    beyond = F.coalesce(F.col("at") + F.col("high") + width, begin + F.col("size")).cast("long")
+    first, beyond = F.col("at") + F.col("low"), F.col("at") + F.col("high") + width
     return met.select("text_key", first.alias("first"), beyond.alias("beyond"))
 
 
@@ -174,8 +192,8 @@ def _sliding(values: np.ndarray, size: int, op: np.ufunc, neutral) -> np.ndarray
 
 
 def _contexts(texts: DataFrame, ones: DataFrame) -> DataFrame:
-    """``bucket, context, before, bytes``: one context of every class, read from a text."""
-    by_text = ones.groupBy("text_key").agg(F.collect_list(F.struct("bucket", "context", "at", "before", "size")).alias("ones"))
+    """``bucket, context, met, before, bytes``: one context of every class, read from a text."""
+    by_text = ones.groupBy("text_key").agg(F.collect_list(F.struct("bucket", "context", "met", "at", "before", "size")).alias("ones"))
     by_text = land(by_text, "ones")
     met = texts.join(_small(by_text, ones), "text_key").select("text_key", "text", "ones")
 
@@ -187,13 +205,13 @@ def _contexts(texts: DataFrame, ones: DataFrame) -> DataFrame:
                     continue
                 read.add(key.as_py())
                 data, flat = text.as_buffer(), listed.values
-                columns = [flat.field(name) for name in ("bucket", "context", "before")]
+                columns = [flat.field(name) for name in ("bucket", "context", "met", "before")]
                 place = [flat.field(name).to_numpy() for name in ("at", "before", "size")]
                 view = memoryview(data)
                 cut = [bytes(view[a - b : a - b + s]) for a, b, s in zip(*(p.tolist() for p in place))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, type=pa.binary())], names=["bucket", "context", "before", "bytes"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, type=pa.binary())], names=["bucket", "context", "met", "before", "bytes"])
 
-    cut_out = met.mapInArrow(run, "bucket long, context long, before int, bytes binary")
+    cut_out = met.mapInArrow(run, "bucket long, context long, met long, before int, bytes binary")
     return cut_out.dropDuplicates(["bucket", "context"])
 
 
@@ -338,45 +356,37 @@ def common_prefixes(data: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int)
 # --- cutting large buckets ----------------------------------------------------------
 
 
-def _finer(places: DataFrame, contexts: DataFrame, large: DataFrame, width: int, reach: int):
-    """Places and contexts of large buckets by parts of their reach.
+_PARTS = "old long, old_class long, bucket long, context long, met long, moved int, before int, bytes binary"
+
 
-    A fifth of the positions around an anchor are strings that share more bytes. Each part
-    has the bucket of those bytes; its contexts are shorter, so more of them are equal.
+def _splitter(width: int, reach: int, finer: int):
+    """Contexts of large buckets by parts of the reach.
+
+    The ``finer`` strings of a part share more bytes than the anchor, and the part has the
+    bucket of those; its contexts are shorter, so more of them are equal.
     """
-    finer = -(-reach // 5)
-    parts = -(-reach // finer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for old, old_class, before, data in zip(*(c.to_pylist() for c in batch.columns)):
-                symbols = np.frombuffer(data, dtype=np.uint8)
-                for part in range(parts):
-                    # strings that begin at most part * finer, and less than finer more, before the anchor
-                    at = before - part * finer
-                    size = width - finer + 1
+            for old, old_class, met, before, data in zip(*(c.to_pylist() for c in batch.columns)):
+                symbols, salt = np.frombuffer(data, dtype=np.uint8), np.array([old & (2**64 - 1)], dtype=np.uint64)
+                for part in range(-(-reach // finer)):
+                    # the part's strings begin part * finer and up to finer - 1 more before the anchor
+                    at, size = before - part * finer, width - finer + 1
                     if at < 0 or len(data) < at + size:
                         continue  # no string of this part is in the text
                     begin, end = max(at - finer + 1, 0), min(at + width, len(data))
-                    spots = np.array([at]), np.array([at + size])
-                    bucket = span_hashes(symbols, *spots) ^ mix(np.array([old & (2**64 - 1)], dtype=np.uint64), part)
-                    context = mix(span_hashes(symbols, np.array([begin]), np.array([end])) + np.uint64(at - begin))
-                    out.append((old, old_class, int(bucket.view(np.int64)[0]), int(context.view(np.int64)[0]), at - before, at - begin, end - begin, data[begin:end]))
+                    shared = span_hashes(symbols, np.array([at]), np.array([at + size])) ^ mix(salt, part)
+                    own = mix(span_hashes(symbols, np.array([begin]), np.array([end])) + np.uint64(at - begin))
+                    codes = (int(x.view(np.int64)[0]) for x in (shared, own))
+                    out.append((old, old_class, *codes, met, at - before, at - begin, data[begin:end]))
             if out:
-                names = ["old", "old_class", "bucket", "context", "moved", "before", "size", "bytes"]
-                kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
+                kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary()]
+                names = ["old", "old_class", "bucket", "context", "met", "moved", "before", "bytes"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    old = contexts.join(small_if(large), "bucket").select("bucket", "context", "before", "bytes")
-    split = land(old.mapInArrow(run, "old long, old_class long, bucket long, context long, moved int, before int, size int, bytes binary"), "parts")
-    kept = split.select("old", "old_class", "moved", F.col("before").alias("new_before"), F.col("size").alias("new_size"), F.col("bucket").alias("new"), F.col("context").alias("new_class"))
-    met = places.join(kept, (F.col("bucket") == F.col("old")) & (F.col("context") == F.col("old_class")))
-    finer_places = met.select(
-        F.col("new").alias("bucket"), "text_key", F.col("new_class").alias("context"), (F.col("at") + F.col("moved")).alias("at"), F.col("new_before").alias("before"), F.col("new_size").alias("size")
-    )
-    finer_contexts = split.select("bucket", "context", "before", "bytes").dropDuplicates(["bucket", "context"])
-    return finer, land(finer_places, "places"), land(finer_contexts, "contexts")
+    return run
 
 
 # --- results ------------------------------------------------------------------------

@@ -169,7 +169,8 @@ def trie(vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = land(edges, "edges")
     # what may be read behind an edge, so that states without a way on are not made
     behind = edges.groupBy("node").agg(F.array_join(F.collect_set(_first("label")), "").alias("ahead"))
-    edges = edges.join(behind.withColumnRenamed("node", "child"), "child", "left")
+    inner = edges.where("child IS NOT NULL").join(behind.withColumnRenamed("node", "child"), "child")
+    edges = inner.unionByName(edges.where("child IS NULL"), allowMissingColumns=True)
     start = F.get("nodes", F.lit(0))
     states = paths.select("word", "n", F.substring(F.col("read"), start["depth"] + 1, F.char_length("read")).alias("rest"), start["node"].alias("node"), F.lit(0).alias("edits"))
     return land(edges, "edges"), states
