@@ -416,6 +416,24 @@ target AS (
   FROM o WHERE o_orderkey % 10 <> 0
 )"""
 
+BOTH_TARGETS = f"""{ORDER_TARGET}, {CUSTOMERS},
+customer_target AS (
+  SELECT * REPLACE (CASE WHEN c_custkey % 10 = 1
+    THEN CAST(c_acctbal + 1 AS DECIMAL(18,2)) ELSE c_acctbal END AS c_acctbal)
+  FROM c WHERE c_custkey % 10 <> 0
+)"""
+_SHOP_ROWS = f"""
+SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+  CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+  CAST(o_totalprice AS VARCHAR) AS o_totalprice, {_text("o_orderdate")} AS o_orderdate,
+  o_orderpriority, NULL AS c_custkey, NULL AS c_name, NULL AS c_nationkey,
+  NULL AS c_acctbal, NULL AS c_mktsegment
+FROM target
+UNION ALL
+SELECT 'customer', NULL, NULL, NULL, NULL, NULL, NULL, CAST(c_custkey AS VARCHAR), c_name,
+  CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment
+FROM customer_target"""
+
 DOCUMENTS = """
 docs AS (
   SELECT event_id AS k, CASE
@@ -627,6 +645,23 @@ SELECT o_orderkey,
   {_select(_before)}, {_select(_after)}
 FROM o WHERE o_orderkey % 10 < 3""",
 )
+_add(
+    "snapshot_changes",
+    ORDERS,
+    f"""
+SELECT o_orderkey,
+  CASE o_orderkey % 10 WHEN 0 THEN 'DELETE' WHEN 1 THEN 'UPDATE' ELSE 'INSERT' END AS status,
+  {_select(_before)}, {_select(_after)}
+FROM o WHERE o_orderkey % 10 < 3""",
+)
+_add(
+    "snapshot_conflicts",
+    "",
+    """
+SELECT l_orderkey, count(*) AS n_before,
+  count(*) FILTER (WHERE (l_orderkey + l_linenumber) % 10 <> 0) AS n_after
+FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""",
+)
 _add("after_image_log", ORDER_LOG, f"SELECT {_select(ORDER_LOG_TEXTS)} FROM olog")
 _add(
     "before_image_log",
@@ -733,10 +768,14 @@ _add(
     "non_null_columns",
     MIXED,
     """
-SELECT column_name, (SELECT count(*) FROM mixed WHERE lower(table_name) = 'customer') AS non_nulls
+SELECT route, column_name,
+  (SELECT count(*) FROM mixed WHERE lower(table_name) = route) AS non_nulls
 FROM (VALUES ('table_name'), ('status'), ('log_timestamp'), ('message_id'), ('hash'),
-  ('log_id'), ('c_custkey'), ('c_name'), ('c_nationkey'), ('c_acctbal'), ('c_mktsegment'))
-  AS t(column_name)""",
+  ('log_id'), ('c_custkey'), ('c_name'), ('c_nationkey'), ('c_acctbal'), ('c_mktsegment'),
+  ('o_orderkey'), ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'),
+  ('o_orderpriority')) AS t(column_name)
+JOIN (VALUES ('customer'), ('orders')) AS r(route)
+  ON column_name[2] <> '_' OR column_name[1] = route[1]""",
 )
 _add(
     "run_stream",
@@ -780,6 +819,16 @@ _add(
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate,
   o_orderpriority, status, log_id FROM latest""",
 )
+_add("bucketed_upsert", ROUNDS, f"{_APPLIED} FROM applied")
+_add("stream_round_trip", BOTH_TARGETS, _SHOP_ROWS)
+_add(
+    "stream_dedup",
+    SHOP,
+    """
+SELECT message_id, log_id, 1 AS passed FROM orders_wire
+UNION ALL
+SELECT 'late', NULL, count(*) FROM olog WHERE log_id % 50 = 7""",
+)
 _positions = {"users": 1, "repos": 2, "orgs": 3, "events": 4, "repo_ownership": 5}
 _add(
     "ordered_load",
@@ -961,6 +1010,6 @@ FROM ({" UNION ALL ".join(_reports)})""",
 )
 _add(
     "cdc_round_trip",
-    ORDER_TARGET,
-    f"SELECT {_select(ORDER_TEXTS)} FROM target",
+    BOTH_TARGETS,
+    _SHOP_ROWS,
 )

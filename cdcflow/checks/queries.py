@@ -8,6 +8,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from cdcflow.operators import integrity, reconcile, routing
 from cdcflow.plans.batch_load import batch_load
 from cdcflow.plans.cdc_sync import cdc_sync, from_wire
 from cdcflow.session import new_dir, use_utc
-from cdcflow.sources import files, logs, sinks, topics
+from cdcflow.sources import files, logs, sinks, store, topics
 from cdcflow.specs import DOCUMENT_RULES, FEED_TABLES, USERS, TableSpec, wide_schema
 from cdcflow.specs import Column as Field
 from cdcflow.streaming import sync
@@ -237,6 +238,27 @@ def snapshot_diff(spark, sf_dir):
     return as_text(changes.select("o_orderkey", "status", *images))
 
 
+@query
+def snapshot_changes(spark, sf_dir):
+    """Digests first, images of the changed rows after."""
+    before, after = views.shop_snapshots(spark, sf_dir, "orders")
+    changes = capture.snapshot_changes(before, after, ["o_orderkey"])
+    images = [
+        F.col(f"{side}.{c}").alias(f"{side}_{c}")
+        for side in ("before", "after")
+        for c in ORDERS.column_names
+    ]
+    return as_text(changes.select("o_orderkey", "status", *images))
+
+
+@query
+def snapshot_conflicts(spark, sf_dir):
+    """Line items by order alone, which repeats; a tenth of the lines is gone after."""
+    lines = _lines(spark, sf_dir)
+    after = lines.filter((F.col("l_orderkey") + F.col("l_linenumber")) % 10 != 0)
+    return capture.snapshot_conflicts(lines, after, ["l_orderkey"])
+
+
 @query
 def after_image_log(spark, sf_dir):
     return as_text(views.shop_log(spark, sf_dir, "orders"))
@@ -402,9 +424,14 @@ def cdc_fallback(spark, sf_dir):
 
 @query
 def non_null_columns(spark, sf_dir):
+    """Of both routes, from one reading of the messages each."""
     parsed = _mixed_names(spark, sf_dir)
     routed = routing.route_by_table(parsed, SHOP)
-    return routing.non_null_columns(routed["customer"])
+    found = [
+        routing.non_null_columns(rows).withColumn("route", F.lit(name))
+        for name, rows in routed.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 # --- apply -------------------------------------------------------------------
@@ -521,6 +548,82 @@ def document_sink(spark, sf_dir):
     return _applied(sinks.read_documents(spark, root, "orders", deletes="tombstone"))
 
 
+@query
+def bucketed_upsert(spark, sf_dir):
+    """A stored table: the newer changes first, then the older, then the newer once more as
+    a replay; then in fewer buckets, with what is not needed any more removed."""
+    changes = _two_rounds(spark, sf_dir)
+    orders = store.StoredTable(spark, f"{new_dir(spark, 'stored')}/orders", ["_id"], 16)
+    orders.replace(_orders_target(spark, sf_dir))
+    newer, older = changes.filter("log_id <= 0"), changes.filter("log_id > 0")
+    for number, batch in ((0, newer), (1, older), (0, newer)):
+        orders.upsert(batch, commit=("orders", number))
+    orders.rebucket(8)
+    orders.vacuum(keep=1)
+    return _applied(orders.read("tombstone"))
+
+
+@query
+def stream_round_trip(spark, sf_dir):
+    """Both tables brought up to date by a stream into stored tables. The first run fails in
+    one table after the other took the batch; the next one starts from the checkpoint."""
+    root = new_dir(spark, "round")
+    for name, spec in SHOP.items():
+        before, _ = views.shop_snapshots(spark, sf_dir, name)
+        sync.stored_table(spark, f"{root}/tables", spec, 16).replace(before)
+        topics.publish_topic(views.shop_messages(spark, sf_dir, name), "changes", "text", path=root)
+    keep = sync.table_store_sink(f"{root}/tables", SHOP, 16)
+
+    def run(sink):
+        source = topics.stream_change_topic(spark, "text", max_per_trigger=8, path=f"{root}/changes")
+        query = sync.run_stream(source, sink, f"{root}/checkpoint", SHOP, exclude=())
+        query.awaitTermination()
+
+    def failing(collection, docs, batch_id):
+        if collection == "customer":
+            raise OSError("the store is away")
+        keep(collection, docs, batch_id)
+
+    try:
+        run(failing)
+    except StreamingQueryException:
+        pass
+    run(keep)
+    synced = {name: sync.stored_table(spark, f"{root}/tables", spec, 16).read() for name, spec in SHOP.items()}
+    return _shop_rows(synced)
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """How often each message passes when a third is delivered again, sealed anew, after a
+    restart, and how many came too late: some from the day before."""
+    root = new_dir(spark, "once")
+    log = views.shop_log(spark, sf_dir, "orders")
+    again = log.filter(F.col("log_id") % 3 == 0)
+    late = log.filter(F.col("log_id") % 50 == 7).withColumns(
+        {"log_id": -F.col("log_id"), "log_timestamp": F.col("log_timestamp") - F.expr("INTERVAL 1 DAY")}
+    )
+    dropped = 0
+    for produced_at, rows in ((PRODUCED_AT, [log]), ("2024-06-02T00:00:00.000000", [again, late])):
+        for batch in rows:
+            sealed = envelope.seal_records(batch, ORDERS, produced_at)
+            topics.publish_topic(sealed.coalesce(2), "changes", "text", path=root)
+        source = topics.stream_change_topic(spark, "text", max_per_trigger=1, path=f"{root}/changes")
+        once = sync.once_per_message(source).select(
+            F.get_json_object("value", "$.message_id").alias("message_id"),
+            F.get_json_object("value", "$.log_id").cast("bigint").alias("log_id"),
+        )
+        writer = once.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+        started = writer.trigger(availableNow=True).start(f"{root}/once")
+        started.awaitTermination()
+        dropped += sync.late_messages(started)
+    passed = spark.read.schema("message_id string, log_id bigint").parquet(f"{root}/once")
+    counted = passed.groupBy("message_id", "log_id").agg(F.count("*").alias("passed"))
+    return counted.unionByName(
+        spark.sql(f"SELECT 'late' AS message_id, CAST(NULL AS BIGINT) AS log_id, CAST({dropped} AS BIGINT) AS passed")
+    )
+
+
 @query
 def ordered_load(spark, sf_dir):
     root = new_dir(spark, "tables")
@@ -787,4 +890,17 @@ def cdc_round_trip(spark, sf_dir):
         views.log_number,
         PRODUCED_AT,
     )
-    return as_text(synced["orders"])
+    return _shop_rows(synced)
+
+
+def _shop_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of all shop tables under each other, tagged, their values as text."""
+    columns = [c for spec in SHOP.values() for c in spec.column_names]
+    tagged = [
+        as_text(rows.select(*SHOP[name].column_names)).select(
+            F.lit(name).alias("table_name"),
+            *[(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in columns],
+        )
+        for name, rows in tables.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, tagged)

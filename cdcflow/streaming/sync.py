@@ -13,7 +13,9 @@ from cdcflow.functions.dedup import keep_last
 from cdcflow.operators.apply import LOG_POSITION
 from cdcflow.operators.envelope import CANONICAL, dead_letters, verify_records
 from cdcflow.operators.routing import cdc_docs, route_by_table, unrouted
+from cdcflow.plans.cdc_sync import from_wire
 from cdcflow.sources.sinks import document_sink, write_documents
+from cdcflow.sources.store import N_BUCKETS, StoredTable
 from cdcflow.specs import EXCLUDED_FROM_DOCUMENTS, FEED_TABLES, TableSpec, wide_schema
 
 DEAD_LETTERS, UNROUTED = "dead_letters", "unrouted"
@@ -37,6 +39,73 @@ def file_sink(root: str) -> Sink:
     return store
 
 
+def stored_table(spark, root: str, spec: TableSpec, n_buckets: int = N_BUCKETS) -> StoredTable:
+    """The table that ``table_store_sink`` keeps for ``spec``: documents by ``_id`` where
+    they are declared, else rows by the table's key."""
+    key = spec.key if spec.stream_document is None else "_id"
+    return StoredTable(spark, f"{root}/{spec.name}", [key], n_buckets)
+
+
+def table_store_sink(root: str, specs: dict[str, TableSpec], n_buckets: int = N_BUCKETS) -> Sink:
+    """Declared tables as stored tables, each batch once: their documents, or where none
+    are declared their rows in the columns' own types.
+
+    A table's manifest remembers the stream and batch it holds, so of a repeated batch only
+    the tables that failed take it. Other outputs become batch folders, if they have rows.
+    """
+
+    def store(collection: str, docs: DataFrame, batch_id: int) -> None:
+        context = docs.sparkSession.sparkContext
+        stream = context.getLocalProperty("sql.streaming.queryId") or "direct"
+        spec = specs.get(collection)
+        if spec is None:
+            if not docs.isEmpty():
+                write_documents(docs, root, collection, batch_id, stream)
+            return
+        rows = docs
+        if spec.stream_document is None:
+            rows = from_wire(docs, spec, ("status", *LOG_POSITION))
+        rows = rows.withColumn("log_timestamp", F.col("log_timestamp").try_cast("timestamp"))
+        stored_table(docs.sparkSession, root, spec, n_buckets).upsert(rows, (stream, batch_id))
+
+    return store
+
+
+def once_per_message(
+    messages: DataFrame, wait: str = "10 minutes", at: Column | None = None, style: str = CANONICAL
+) -> DataFrame:
+    """A stream of messages without redelivered ones.
+
+    A valid message is known by its id and log number, which a producer that seals it again
+    leaves as they are; any other by its text, so that a damaged copy does not stand for the
+    message. What was seen is kept in Spark's state until the latest time is ``wait`` past
+    it, and messages that come later than that are dropped; ``late_messages`` counts them.
+    ``at`` is the time of a message, such as the broker's; by default its log time, and
+    messages without one pass as they are, by a second reading of the source.
+    """
+    value = F.col("value").cast("string")
+    verified = verify_records(messages, style)
+    number = F.get_json_object(value, "$.log_id")
+    timed_by = F.get_json_object(value, "$.log_timestamp").try_cast("timestamp") if at is None else at
+    known = verified.select(
+        *messages.columns,
+        timed_by.alias("_at"),
+        F.when(F.col("is_valid"), F.col("message_id")).otherwise(F.sha2(value, 256)).alias("_message"),
+        F.when(F.col("is_valid"), F.coalesce(number, F.lit(""))).otherwise("").alias("_number"),
+    )
+    once = known.where("_at IS NOT NULL").withWatermark("_at", wait)
+    once = once.dropDuplicatesWithinWatermark(["_message", "_number"]).select(*messages.columns)
+    if at is not None:
+        return once
+    return once.unionByName(known.where("_at IS NULL").select(*messages.columns))
+
+
+def late_messages(query: StreamingQuery) -> int:
+    """Messages that came too late for ``once_per_message`` in the batches of a query."""
+    states = [state for batch in query.recentProgress for state in batch["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
 def store_sink(
     uri: str, database: str, fmt: str = "mongodb", options: dict | None = None
 ) -> Sink:

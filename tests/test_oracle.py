@@ -29,4 +29,4 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_entry(spark):
-    assert __spark_entry__.entry(spark).count() == 1350
+    assert __spark_entry__.entry(spark).count() == 1350 + 135  # orders and customers
