@@ -893,6 +893,14 @@ _add(
     ORDER_TARGET,
     f"SELECT {_select(ORDER_TEXTS)} FROM (SELECT * FROM target EXCEPT ALL SELECT * FROM o)",
 )
+_add(
+    "reconcile_tree",
+    ORDER_TARGET,
+    f"""
+SELECT 'missing' AS side, {_select(ORDER_TEXTS)} FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM target)
+UNION ALL
+SELECT 'unexpected', {_select(ORDER_TEXTS)} FROM (SELECT * FROM target EXCEPT ALL SELECT * FROM o)""",
+)
 _add(
     "missing_tables",
     "",
@@ -972,6 +980,35 @@ UNION ALL
 SELECT 'repo_ownership', count(*), count(CASE WHEN owner_user_id % 10 <> 0 THEN 1 END)
 FROM ownership""",
 )
+_add(
+    "cascade_closure",
+    """RECURSIVE cust AS (
+  SELECT CAST(c_custkey AS BIGINT) AS c_custkey,
+    CASE WHEN c_custkey > 6 THEN CAST(c_custkey // 7 AS BIGINT) END AS c_referrer,
+    CASE WHEN c_custkey % 9 = 0 THEN CAST(c_custkey * 2 AS BIGINT) END AS c_order
+  FROM customer
+), links AS (
+  SELECT 'customer' AS t, c_custkey AS k, 'customer' AS pt, c_referrer AS pk FROM cust
+  UNION ALL SELECT 'customer', c_custkey, 'orders', c_order FROM cust
+  UNION ALL SELECT 'orders', o_orderkey, 'customer', o_custkey FROM orders
+), gone AS (
+  SELECT 'customer' AS t, c_custkey AS k FROM cust WHERE c_custkey % 97 = 5
+  UNION
+  SELECT l.t, l.k FROM gone g JOIN links l ON l.pt = g.t AND l.pk = g.k
+)""",
+    """
+SELECT 'customer' AS table_name, c_custkey AS key, c_referrer AS parent
+FROM cust WHERE c_custkey NOT IN (SELECT k FROM gone WHERE t = 'customer')
+UNION ALL
+SELECT 'orders', o_orderkey, o_custkey
+FROM orders WHERE o_orderkey NOT IN (SELECT k FROM gone WHERE t = 'orders')
+UNION ALL
+SELECT 'lineitem', l_orderkey * 10 + l_linenumber,
+  CASE WHEN l_orderkey NOT IN (SELECT k FROM gone WHERE t = 'orders') THEN l_orderkey END
+FROM lineitem
+UNION ALL
+SELECT 'gone from ' || t, k, NULL FROM gone""",
+)
 _add(
     "fill_defaults",
     REPOS,

@@ -21,7 +21,8 @@ from cdcflow.plans.batch_load import batch_load
 from cdcflow.plans.cdc_sync import cdc_sync, from_wire
 from cdcflow.session import new_dir, use_utc
 from cdcflow.sources import files, logs, sinks, store, topics
-from cdcflow.specs import DOCUMENT_RULES, FEED_TABLES, USERS, TableSpec, wide_schema
+from cdcflow.specs import CASCADE, DOCUMENT_RULES, FEED_TABLES, SET_NULL, USERS
+from cdcflow.specs import ForeignKey, TableSpec, wide_schema
 from cdcflow.specs import Column as Field
 from cdcflow.streaming import sync
 
@@ -705,6 +706,12 @@ def unexpected_rows(spark, sf_dir):
     return as_text(reconcile.unexpected_rows(source, target))
 
 
+@query
+def reconcile_tree(spark, sf_dir):
+    source, target = _order_sides(spark, sf_dir)
+    return as_text(reconcile.reconcile_tree(source, target))
+
+
 @query
 def missing_tables(spark, sf_dir):
     """Which required kinds of event never occur in the feed."""
@@ -817,7 +824,7 @@ def cascade_set_null(spark, sf_dir):
 @query
 def cascade_graph(spark, sf_dir):
     """Users deleted from the feed tables take their events along."""
-    raw = views.raw_events(spark, sf_dir)
+    raw = files.land_parquet(views.raw_events(spark, sf_dir), new_dir(spark, "raw"))
     tables = entities.feed_tables(raw, FORK_TYPE)
     users = tables["users"].filter(F.col("user_id") % 10 == 0).select("user_id")
     orgs = tables["orgs"].filter(F.col("org_id") % 5 == 0).select("org_id")
@@ -839,6 +846,59 @@ def cascade_graph(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, counted)
 
 
+CIRCLE = (
+    TableSpec(
+        name="customer",
+        key="c_custkey",
+        columns=(Field("c_custkey", views.LONG), Field("c_referrer", views.LONG), Field("c_order", views.LONG)),
+        foreign_keys=(ForeignKey("c_referrer", "customer", CASCADE), ForeignKey("c_order", "orders", CASCADE)),
+    ),
+    TableSpec(
+        name="orders",
+        key="o_orderkey",
+        columns=(Field("o_orderkey", views.LONG), Field("o_custkey", views.LONG)),
+        foreign_keys=(ForeignKey("o_custkey", "customer", CASCADE),),
+    ),
+    TableSpec(
+        name="lineitem",
+        key="l_key",
+        columns=(Field("l_key", views.LONG), Field("l_orderkey", views.LONG)),
+        foreign_keys=(ForeignKey("l_orderkey", "orders", SET_NULL),),
+    ),
+)
+
+
+@query
+def cascade_closure(spark, sf_dir):
+    """Customers referred by customers and kept by an order, orders kept by customers: what
+    some customers take along, through chains and circles, and lines without their order."""
+    key = F.col("c_custkey").cast("bigint")
+    customer = views.table(spark, sf_dir, "customer").select(
+        key.alias("c_custkey"),
+        F.when(key > 6, F.expr("c_custkey DIV 7").cast("bigint")).alias("c_referrer"),
+        F.when(key % 9 == 0, key * 2).alias("c_order"),
+    )
+    orders = views.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey")
+    )
+    lines = views.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("l_key"),
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+    )
+    tables = {"customer": customer, "orders": orders, "lineitem": lines}
+    deleted = {"customer": customer.filter(F.col("c_custkey") % 97 == 5).select("c_custkey")}
+    left, gone = integrity.cascade_closure(tables, CIRCLE, deleted)
+    rows = [
+        left[name].select(F.lit(name).alias("table_name"), F.col(k).alias("key"), F.col(fk).alias("parent"))
+        for name, k, fk in (("customer", "c_custkey", "c_referrer"), ("orders", "o_orderkey", "o_custkey"), ("lineitem", "l_key", "l_orderkey"))
+    ]
+    rows += [
+        gone[name].select(F.lit(f"gone from {name}").alias("table_name"), "key", F.lit(None).cast("bigint").alias("parent"))
+        for name in ("customer", "orders")
+    ]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 @query
 def fill_defaults(spark, sf_dir):
     repos = entities.repos_dim(views.raw_events(spark, sf_dir))

@@ -6,6 +6,7 @@ of a ``TableSpec`` becomes a query for the rows that break it.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions.canonical import computed_once
 from cdcflow.functions.joins import splittable
+from cdcflow.session import new_dir
+from cdcflow.sources.files import land_parquet
 from cdcflow.specs import CASCADE, NOW, SET_NULL, DocumentRule, TableSpec, load_order
 
 
@@ -175,29 +178,96 @@ def cascade(
     specs = list(specs)
     for spec in specs:
         if any(fk.parent == spec.name for fk in spec.foreign_keys):
-            raise ValueError(f"{spec.name} refers to itself: its deletes are not carried on")
-    remaining: dict[str, DataFrame] = {}
-    gone = {name: _parents(keys) for name, keys in deleted.items()}
+            raise ValueError(f"{spec.name} refers to itself: cascade_closure carries its deletes on")
+    gone = {name: _landed(_parents(keys).distinct()) for name, keys in deleted.items()}
     for spec in load_order(specs):
+        hit = _hit(tables[spec.name], spec, gone)
+        if hit is not None:
+            own = [gone[spec.name]] if spec.name in gone else []
+            gone[spec.name] = _landed(functools.reduce(DataFrame.union, own, hit).distinct())
+    return _remaining(tables, specs, gone), _keys(gone)
+
+
+def cascade_closure(
+    tables: dict[str, DataFrame],
+    specs: Iterable[TableSpec],
+    deleted: dict[str, DataFrame],
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """As ``cascade``, for foreign keys that refer to their own table or form a circle.
+
+    In rounds: the keys that went in the last one take their children along, whatever is
+    gone already left out, until a round finds none. A round scans the key columns of a
+    table that has such a parent once, and writes the new keys. There are as many rounds
+    as the longest chain of rows has links.
+    """
+    specs = list(specs)
+    newest = {name: _landed(_parents(keys).distinct()) for name, keys in deleted.items()}
+    gone: dict[str, DataFrame] = {}
+    while newest:
+        for name, keys in newest.items():
+            gone[name] = gone[name].union(keys) if name in gone else keys
+        found = {}
+        for spec in specs:
+            hit = _hit(tables[spec.name], spec, newest)
+            if hit is not None:
+                if spec.name in gone:
+                    hit = hit.join(gone[spec.name], "_parent", "left_anti")
+                keys = _landed(hit.distinct())
+                if not keys.isEmpty():
+                    found[spec.name] = keys
+        newest = found
+    return _remaining(tables, specs, gone), _keys(gone)
+
+
+def _landed(keys: DataFrame) -> DataFrame:
+    """Keys in a table of their own: the plans that use them do not derive them again."""
+    return land_parquet(keys, new_dir(keys.sparkSession, "gone"))
+
+
+def _keys(gone: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: keys.select(F.col("_parent").alias("key")) for name, keys in gone.items()}
+
+
+def _flagged(rows: DataFrame, columns: Sequence[str], gone: Sequence[DataFrame]) -> DataFrame:
+    """Rows with a flag per column: whether its value is among these keys."""
+    for i, (column, keys) in enumerate(zip(columns, gone)):
+        flagged = splittable(keys.select("_parent", F.lit(True).alias(f"_gone{i}")), "_parent")
+        flagged = flagged.withColumnRenamed("_parent", f"_parent{i}")
+        rows = rows.join(flagged, F.col(column) == F.col(f"_parent{i}"), "left").drop(f"_parent{i}")
+    return rows
+
+
+def _hit(rows: DataFrame, spec: TableSpec, gone: dict[str, DataFrame]) -> DataFrame | None:
+    """Keys of the rows that go with parents among ``gone``, from one scan; None without such."""
+    fks = [fk for fk in spec.foreign_keys if fk.on_delete == CASCADE and fk.parent in gone]
+    if not fks:
+        return None
+    narrow = rows.select(*dict.fromkeys([spec.key, *(fk.column for fk in fks)]))
+    flagged = _flagged(narrow, [fk.column for fk in fks], [gone[fk.parent] for fk in fks])
+    taken = F.coalesce(*[F.col(f"_gone{i}") for i in range(len(fks))])
+    return flagged.filter(taken).select(F.col(spec.key).alias("_parent"))
+
+
+def _remaining(tables, specs: list[TableSpec], gone: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every table without the rows that are gone and with emptied keys: a row that goes by
+    a foreign key goes by that, without its own key, which may be NULL, being looked up."""
+    remaining = {}
+    for spec in specs:
         rows = tables[spec.name]
-        taken = [gone[spec.name]] if spec.name in gone else []
-        for fk in spec.foreign_keys:
-            if fk.on_delete == CASCADE and fk.parent in gone:
-                hit = cascade_removed(rows, fk.column, gone[fk.parent])
-                taken.append(hit.select(F.col(spec.key).alias("_parent")))
-        if taken:
-            keys = taken[0]
-            for more in taken[1:]:
-                keys = keys.union(more)
-            gone[spec.name] = keys.distinct()
-            rows = cascade_delete(rows, spec.key, gone[spec.name])
-        for fk in spec.foreign_keys:
-            if fk.on_delete == SET_NULL and fk.parent in gone:
-                rows = cascade_set_null(rows, fk.column, gone[fk.parent])
-        remaining[spec.name] = rows
-    return remaining, {
-        name: keys.select(F.col("_parent").alias("key")) for name, keys in gone.items()
-    }
+        fks = [fk for fk in spec.foreign_keys if fk.parent in gone]
+        columns, keys = [fk.column for fk in fks], [gone[fk.parent] for fk in fks]
+        if spec.name in gone:
+            columns, keys = [*columns, spec.key], [*keys, gone[spec.name]]
+        flagged = _flagged(rows, columns, keys)
+        emptied = {}
+        for i, fk in enumerate([*fks, None][: len(columns)]):
+            flag = F.coalesce(F.col(f"_gone{i}"), F.lit(False))
+            if fk is None or fk.on_delete == CASCADE:
+                flagged = flagged.filter(~flag)
+            elif fk.on_delete == SET_NULL:
+                emptied[fk.column] = F.when(~flag, F.col(fk.column)).alias(fk.column)
+        remaining[spec.name] = flagged.select(*[emptied.get(c, F.col(c)) for c in rows.columns])
+    return remaining
 
 
 # --- document schemas --------------------------------------------------------
@@ -221,15 +291,18 @@ def schema_violations(
         .alias("_root"),
         "_doc",
     )
-    # one row per rule: what is found is looked up once and then only compared
-    looked_up = F.inline(F.array(*[_lookup(i, r) for i, r in enumerate(rules)]))
-    found = parsed.select("_id", "_readable", "_root", looked_up)
+    # what is found is looked up once; only what breaks its rule becomes a row
+    looked_up = F.array(*[_lookup(i, r) for i, r in enumerate(rules)])
+
+    def broken(found):
+        plain = F.substring_index(F.substring_index(found["_kind"], "<", 1), "(", 1)
+        missing = found["_required"] & found["_kind"].isNull()
+        wrong = ~F.array_contains(found["_allowed"], plain)
+        return F.when(F.col("_readable"), missing | wrong).otherwise(found["_number"] == 0)
+
+    found = parsed.select("_id", "_readable", "_root", F.inline(F.filter(looked_up, broken)))
     kind = F.col("_kind")
-    plain = F.substring_index(F.substring_index(kind, "<", 1), "(", 1)
-    missing = F.col("_required") & kind.isNull()
-    wrong = ~F.array_contains("_allowed", plain)
-    broken = F.when(F.col("_readable"), missing | wrong).otherwise(F.col("_number") == 0)
-    return found.filter(broken).select(
+    return found.select(
         "_id",
         F.when(F.col("_readable"), F.col("path")).otherwise("$").alias("path"),
         F.when(~F.col("_readable"), F.col("_root"))
