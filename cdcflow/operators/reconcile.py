@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -103,13 +104,28 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
 LEAF_BITS, LEVEL_BITS = 12, 4
 
 
-def _row_hash(columns, salt: int):
-    """Hash of a row; what is NULL counts, as a hash skips NULLs."""
-    return F.xxhash64(F.lit(salt), *[F.col(c).isNull() for c in columns], *columns)
+def _row_hash(df: DataFrame, salt: int) -> Column:
+    """Hash of a row; what is NULL counts, also inside of nested values, as a hash alone
+    skips NULLs."""
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    values = [
+        F.to_json(F.col(f.name), {"ignoreNullFields": "false"}) if isinstance(f.dataType, nested) else F.col(f.name)
+        for f in df.schema
+    ]
+    return F.xxhash64(F.lit(salt), *[F.col(c).isNull() for c in df.columns], *values)
 
 
-def _leaf(columns, bits: int):
-    return F.shiftrightunsigned(_row_hash(columns, 0), 64 - bits)
+def _leaf(df: DataFrame, bits: int) -> Column:
+    return F.shiftrightunsigned(_row_hash(df, 0), 64 - bits)
+
+
+def row_digests(df: DataFrame) -> list[Column]:
+    """Aggregates over rows in any order: ``row_count``, ``digest_a``, ``digest_b``."""
+    sums = [
+        F.coalesce(F.sum(_row_hash(df, salt).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)")).alias(name)
+        for salt, name in ((1, "digest_a"), (2, "digest_b"))
+    ]
+    return [F.count(F.lit(1)).alias("row_count"), *sums]
 
 
 def digest_tree(df: DataFrame, bits: int = LEAF_BITS) -> DataFrame:
@@ -121,9 +137,7 @@ def digest_tree(df: DataFrame, bits: int = LEAF_BITS) -> DataFrame:
     read: a task sends one row per leaf at most. Trees of two copies of a table, wherever
     they are, are compared without the rows.
     """
-    columns = df.columns
-    sums = [F.sum(_row_hash(columns, salt).cast("decimal(20,0)")).alias(name) for salt, name in ((1, "digest_a"), (2, "digest_b"))]
-    leaves = df.groupBy(_leaf(columns, bits).alias("_leaf")).agg(F.count(F.lit(1)).alias("row_count"), *sums)
+    leaves = df.groupBy(_leaf(df, bits).alias("_leaf")).agg(*row_digests(df))
     levels = sorted({0, bits, *range(0, bits, LEVEL_BITS)})
     above = F.explode(F.array(*[F.struct(F.lit(n).alias("bits"), F.shiftright("_leaf", bits - n).alias("prefix")) for n in levels]))
     nodes = leaves.select(above.alias("_node"), "row_count", "digest_a", "digest_b").select("_node.*", "row_count", "digest_a", "digest_b")
@@ -151,7 +165,7 @@ def reconcile_tree(source: DataFrame, target: DataFrame, bits: int = LEAF_BITS)
     leaves = F.broadcast(differ.filter(F.col("bits") == bits).select(F.col("prefix").alias("_differs")))
 
     def suspected(df):
-        return df.join(leaves, _leaf(df.columns, bits) == F.col("_differs"), "left_semi")
+        return df.join(leaves, _leaf(df, bits) == F.col("_differs"), "left_semi")
 
     left, right = suspected(source), suspected(target)
     lacks = missing_rows(left, right).withColumn("side", F.lit("missing"))

@@ -13,12 +13,12 @@ from cdcflow.operators.documents import (
     users_docs,
 )
 from cdcflow.operators.entities import feed_tables
-from cdcflow.operators.reconcile import reconcile
 from cdcflow.sources.files import land_parquet, scan_nested_json
 from cdcflow.sources.logs import bootstrap_cutover
 from cdcflow.sources.sinks import (
     bootstrap_tables,
-    load_report,
+    observed_report,
+    observing,
     ordered_load,
     table_sink,
 )
@@ -37,14 +37,16 @@ def batch_load(
     The feed is landed as Parquet once: the outputs and their checks then read only
     the nested columns they need. Users and organisations are folded once, for their
     tables; their collections come from what was stored. Of several events that give
-    one document the last one counts. Returns the report, one row per output, and the
+    one document the last one counts. Every output is digested while it is written, so its
+    check is one scan of what was stored. Returns the report, one row per output, and the
     cursors past ``logs``.
     """
     raw = land_parquet(scan_nested_json(spark, feed_path), f"{root}/raw")
     specs = list(FEED_TABLES.values())
     tables = feed_tables(raw, fork_type)
     bootstrap_tables(spark, specs, f"{root}/tables")
-    order = ordered_load(tables, specs, table_sink(f"{root}/tables"))
+    seen, seen_documents = {}, {}
+    order = ordered_load(tables, specs, observing(table_sink(f"{root}/tables"), seen))
     loaded = {name: spark.read.parquet(f"{root}/tables/{name}") for name in order}
 
     documents = {
@@ -53,15 +55,15 @@ def batch_load(
         "repos": latest_documents(repo_docs(raw, position=True)),
         "events": latest_documents(event_docs(raw, position=True)),
     }
-    store = table_sink(f"{root}/collections")
+    store = observing(table_sink(f"{root}/collections"), seen_documents)
     for name, docs in documents.items():
         store(name, docs)
 
-    written = {f"tables/{name}": (tables[name], loaded[name]) for name in order}
+    written = {f"tables/{name}": (seen[name], tables[name], loaded[name]) for name in order}
     for name, docs in documents.items():
-        stored = spark.read.parquet(f"{root}/collections/{name}")
-        written[f"collections/{name}"] = (docs, stored)
-    report = load_report(written, reconcile)
+        stored = spark.read.schema(docs.schema).parquet(f"{root}/collections/{name}")
+        written[f"collections/{name}"] = (seen_documents[name], docs, stored)
+    report = observed_report(written)
     return report, bootstrap_cutover(logs) if logs else None
 
 

@@ -54,8 +54,9 @@ def apply_messages(
         parsed = parse_envelopes(valid, wide_schema([spec]))
         routed = route_by_table(parsed, [name], exclude=())[name]
         changes = from_wire(routed, spec, ("status", *LOG_POSITION))
+        # changes that are derived here enter the plan once
         applied = apply_changes(
-            targets[name], changes, keys=[spec.key], deletes="remove"
+            targets[name], changes, keys=[spec.key], deletes="remove", derived=True
         )
         synced[name] = applied.select(*spec.column_names)
     return synced

@@ -251,3 +251,27 @@ def test_keys_with_several_rows_are_told_apart(spark):
 def test_log_and_snapshots_of_the_shop_agree(spark):
     before, after = views.shop_snapshots(spark, SF_DIR, "customer")
     assert capture.snapshot_conflicts(before, after, ["c_custkey"]).count() == 0
+
+
+# --- loads observed while they are written ------------------------------------------
+
+
+def test_a_changed_target_is_found_by_its_digest(spark, tmp_path):
+    from cdcflow.sources import sinks
+
+    source = spark.range(500).selectExpr("id", "named_struct('a', IF(id % 2 = 0, NULL, id), 'b', IF(id % 2 = 0, id, NULL)) AS s")
+    seen = {}
+    sink = sinks.observing(sinks.table_sink(str(tmp_path)), seen)
+    for name in ("same", "swapped", "short", "empty"):
+        sink(name, source.limit(0) if name == "empty" else source)
+    stored = {name: spark.read.schema(source.schema).parquet(f"{tmp_path}/{name}") for name in seen}
+    stored["swapped"] = stored["swapped"].selectExpr("id", "IF(id = 3, named_struct('a', CAST(NULL AS BIGINT), 'b', 3L), s) AS s")
+    stored["short"] = stored["short"].filter("id < 499")
+    written = {name: (seen[name], source.limit(0) if name == "empty" else source, stored[name]) for name in seen}
+    found = {r.table_name: tuple(r)[1:] for r in sinks.observed_report(written).collect()}
+    assert found == {
+        "same": (500, 500, 0, 0, 0, "equal"),
+        "swapped": (500, 500, 0, 1, 1, "different"),
+        "short": (500, 499, 1, 1, 0, "different"),
+        "empty": (0, 0, 0, 0, 0, "equal"),
+    }
