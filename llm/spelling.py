@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.storage import drop, land
-from llm.text import Block, blocks, code_points, mix, span_hashes, words
+from llm.text import BLOCK_BYTES, Block, Words, blocks, code_points, mix, span_hashes, words
 
 MIN_LENGTH, MIN_COUNT = 5, 3
 #: A form has at least this many times the occurrences of its variant.
@@ -51,8 +51,8 @@ def letter_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         counts: Counter = Counter()
         for batch in batches:
             ids, texts = batch.columns
-            for block in blocks(texts):
-                counts.update(_count_block(block, ids.slice(block.first, block.rows).to_pylist(), drop_every))
+            for block in blocks(texts, 2 * BLOCK_BYTES - 2):
+                counts.update(_count_block(block, ids.slice(block.first, block.rows).to_pylist(), drop_every, min_length))
                 # a block of text adds at most its own size
                 if len(counts) > HELD_WORDS or block.rows == 1:
                     yield from _counted(counts, min_length)
@@ -70,15 +70,17 @@ def _counted(counts: Counter, min_length: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(kept)), pa.array(list(kept.values()), type=pa.int64())], names=["word", "n"])
 
 
-def _count_block(block: Block, ids: list, drop_every: int | None) -> Counter:
+def _count_block(block: Block, ids: list, drop_every: int | None, min_length: int = 1) -> Counter:
     points, offsets = code_points(block)
     upper = (points >= 0x41) & (points <= 0x5A)
     letter = upper | ((points >= 0x61) & (points <= 0x7A)) | ((points >= 0xC0) & (points <= 0xFF))
     points = np.where(upper, points + 32, points).astype("<u4")
     found = words(Block(block.first, offsets, letter.astype(np.uint8)), _NOT_LETTER)
+    enough = found.end - found.start >= min_length
+    found = Words(found.row[enough], found.start[enough], found.end[enough])
     _, first, which = np.unique(span_hashes(points, found.start, found.end), return_index=True, return_inverse=True)
-    text = points.tobytes()
-    vocabulary = [text[4 * found.start[i] : 4 * found.end[i]].decode("utf-32-le") for i in first]
+    text = points.tobytes().decode("utf-32-le")
+    vocabulary = [text[a:b] for a, b in zip(found.start[first].tolist(), found.end[first].tolist())]
     counts = np.bincount(which, minlength=len(vocabulary))
     changed: Counter = Counter()
     if drop_every and len(vocabulary):
