@@ -81,10 +81,17 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, bucket_classes: int = B
     contexts = land(_contexts(texts, ones), "contexts")
     drop(ones)
     whole = _whole(classes.select("bucket", "context", "met", "one.before", "one.size"), width)
-    marks = land(whole.unionByName(class_marks(contexts, width, reach, bucket_classes)), "marks")
+    marks = land(_per_class(whole.unionByName(class_marks(contexts, width, reach, bucket_classes))), "marks")
+    drop(contexts, classes)
     return _covered(places, marks, width)
 
 
+def _per_class(marks: DataFrame) -> DataFrame:
+    """One range a class. The strings of a context all hold its anchor, so the bytes that
+    they cover are one stretch, from the first string's first to the last one's last."""
+    return marks.groupBy("bucket", "context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
 def _whole(classes: DataFrame, width: int) -> DataFrame:
     """Marks of classes that are met twice: all strings of their contexts."""
     twice = classes.where("met > 1")
@@ -93,8 +100,8 @@ def _whole(classes: DataFrame, width: int) -> DataFrame:
 
 
 def class_marks(contexts: DataFrame, width: int, reach: int, bucket_classes: int) -> DataFrame:
-    """``bucket, context, low, high``: ranges of first bytes, counted from the anchor, of
-    strings that stand in two classes of a bucket.
+    """``bucket, context, low, high``: first bytes, counted from the anchor, of the first and
+    last of strings that stand in two classes of a bucket.
 
     ``contexts`` is landed and has ``bucket, context, met, before, bytes``, one row a class.
     A bucket of more than ``bucket_classes`` is cut into parts of the reach; what is found
@@ -109,15 +116,21 @@ def class_marks(contexts: DataFrame, width: int, reach: int, bucket_classes: int
         return marks
     finer = -(-reach // 5)
     given = contexts.join(small_if(large), "bucket").select("bucket", "context", "met", "before", "bytes")
-    parts = land(given.mapInArrow(_splitter(width, reach, finer), _PARTS), "parts")
+    parts = given.mapInArrow(_splitter(width, reach, finer), _PARTS)
     merged = parts.groupBy("bucket", "context").agg(F.sum("met").alias("met"), F.first("before").alias("before"), F.first("bytes").alias("bytes"))
     merged = land(merged, "contexts")
     whole = _whole(merged.withColumn("size", F.length("bytes")), width)
-    found = land(whole.unionByName(class_marks(merged, width, finer, bucket_classes)), "marks")
+    found = land(_per_class(whole.unionByName(class_marks(merged, width, finer, bucket_classes))), "marks")
+    drop(merged)
+    # the parts are cut again, without their bytes being kept
     back = parts.select("bucket", "context", "old", "old_class", "moved").join(small_if(found), ["bucket", "context"])
-    return marks.unionByName(
-        back.select(F.col("old").alias("bucket"), F.col("old_class").alias("context"), (F.col("low") + F.col("moved")).alias("low"), (F.col("high") + F.col("moved")).alias("high"))
+    back = back.select(
+        F.col("old").alias("bucket"),
+        F.col("old_class").alias("context"),
+        (F.col("low") + F.col("moved")).alias("low"),
+        (F.col("high") + F.col("moved")).alias("high"),
     )
+    return marks.unionByName(back)
 
 
 def _covered(places: DataFrame, marks: DataFrame, width: int) -> DataFrame:
