@@ -14,7 +14,6 @@ anchor share more bytes, so each such part has a bucket of its own by those.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
