@@ -566,6 +566,23 @@ _add(
 SELECT 'orders' AS table_name, {_text("log_timestamp")} AS cursor_ts, log_id AS cursor_id
 FROM olog {_NEWER} ORDER BY log_timestamp DESC, log_id DESC LIMIT 1""",
 )
+_COMMITS = f"""{ORDER_LOG}, commits AS (
+  SELECT *, CAST(greatest(CASE WHEN log_id % 15 = 0 THEN 3 WHEN log_id % 5 = 0 THEN 2 ELSE 1 END,
+    CASE WHEN log_id > 1000 THEN 2 ELSE 1 END) AS INTEGER) AS committed FROM olog)"""
+_add("log_gaps", _COMMITS, f"SELECT {_select(ORDER_LOG_TEXTS)}, committed AS pass FROM commits")
+_add(
+    "log_gap_state",
+    f"""{_COMMITS}, numbers AS (
+  SELECT log_id AS n FROM commits WHERE committed <= 2 UNION SELECT CAST(-1 AS BIGINT)),
+  following AS (SELECT n, lead(n) OVER (ORDER BY n) AS after FROM numbers),
+  first_pass AS (SELECT max(log_id) AS reached, max(log_timestamp) AS at FROM commits WHERE committed = 1),
+  second_pass AS (SELECT max(log_timestamp) AS at FROM commits WHERE committed = 2)""",
+    f"""
+SELECT 'orders' AS table_name, n + 1 AS gap_from, after - 1 AS gap_to,
+  CASE WHEN after IS NOT NULL THEN CASE WHEN n < first_pass.reached THEN {_text("first_pass.at")}
+    ELSE {_text("second_pass.at")} END END AS seen_at
+FROM following, first_pass, second_pass WHERE after IS NULL OR after > n + 1""",
+)
 _nulls = ", ".join(
     f"CAST(NULL AS {'BIGINT' if c == 'c_custkey' else 'INTEGER' if c == 'c_nationkey' else 'VARCHAR'}) AS {c}"
     for c in CUSTOMER_COLUMNS

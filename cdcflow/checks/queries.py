@@ -20,7 +20,7 @@ from cdcflow.operators import integrity, reconcile, routing
 from cdcflow.plans.batch_load import batch_load
 from cdcflow.plans.cdc_sync import cdc_sync, from_wire
 from cdcflow.session import new_dir, use_utc
-from cdcflow.sources import files, logs, sinks, store, topics
+from cdcflow.sources import files, gaps, logs, sinks, store, topics
 from cdcflow.specs import CASCADE, DOCUMENT_RULES, FEED_TABLES, SET_NULL, USERS
 from cdcflow.specs import ForeignKey, TableSpec, wide_schema
 from cdcflow.specs import Column as Field
@@ -132,6 +132,36 @@ def collect_change_logs(spark, sf_dir):
     return as_text(rows)
 
 
+def _commits(log: DataFrame) -> DataFrame:
+    """The log with the pass before which each row was committed: numbers up to 1,000
+    before the first, all others before the second, but for some that stay open longer."""
+    number = F.col("log_id")
+    late = F.when(number % 15 == 0, 3).when(number % 5 == 0, 2).otherwise(1)
+    return log.withColumn("committed", F.greatest(late, F.when(number > 1000, 2).otherwise(1)))
+
+
+def _gap_passes(spark, sf_dir, passes):
+    log = _commits(views.shop_log(spark, sf_dir, "orders"))
+    log = files.land_parquet(log, new_dir(spark, "log"))
+    state, read = gaps.unread_from(spark, ["orders"], first=0), []
+    for n in range(1, passes + 1):
+        rows, state = gaps.read_unread(log.filter(F.col("committed") <= n), state, "orders")
+        read.append(rows.withColumn("pass", F.lit(n)))
+    return functools.reduce(DataFrame.unionByName, read), state
+
+
+@query
+def log_gaps(spark, sf_dir):
+    read, _ = _gap_passes(spark, sf_dir, 3)
+    return as_text(read.drop("committed"))
+
+
+@query
+def log_gap_state(spark, sf_dir):
+    _, state = _gap_passes(spark, sf_dir, 2)
+    return as_text(state)
+
+
 # --- entities ----------------------------------------------------------------
 
 
