@@ -9,7 +9,8 @@ by their validator alone, and context only adds to their score.
 Positions are not given by Spark's regular expressions; they are sums over what lies
 between the matches. The patterns are possessive and look behind themselves, so a long
 run of digits or letters takes linear time and no recursion; they match the same spans
-as the plain forms in their comments.
+as the plain forms in their comments. Sums are taken over blocks of matches and contexts
+from pieces of the text, so many matches in one text take linear time as well.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from pyspark.sql import functions as F
 LEAST_SCORE = 0.5
 #: Characters before and after a span in which context words are looked for.
 NEAR = 40
+#: Characters in a piece of text that contexts are taken from; more than ``NEAR``.
+TILE = 1024
+#: Matches whose lengths are summed together.
+BLOCK = 256
 CONTEXT_GAIN = 0.3
 
 #: Kinds in the order of the digest, and their patterns.
@@ -93,28 +98,73 @@ def _valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _found(kind: str, text: Column) -> Column:
+def _confirmed(kind: str, pairs: Column) -> Column:
+    """Starts and texts of the matches that hold, from the gaps and matches of a text.
+
+    A start is the sum of all lengths before it. Arrays are copied when they grow, so sums
+    are taken over blocks of ``BLOCK`` matches first, then inside each.
+    """
+    size = lambda p: F.length(p["gap"]) + F.length(p["match"])
+    none = F.array().cast("array<struct<start:int,text:string>>")
+
+    def cut(pairs):
+        last = F.floor((F.greatest(F.size(pairs), F.lit(1)) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(pairs, b * BLOCK + 1, BLOCK))
+
+    def heads(blocks):
+        return F.aggregate(
+            F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, p: a + size(p))),
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+        )["out"]
+
+    def inside(b):
+        return F.aggregate(
+            b["block"],
+            F.struct(b["head"].alias("at"), none.alias("out")),
+            lambda a, p: F.struct(
+                (a["at"] + size(p)).alias("at"),
+                F.when(_valid(kind, p["match"]), F.concat(a["out"], F.array(F.struct((a["at"] + F.length(p["gap"])).alias("start"), p["match"].alias("text"))))).otherwise(a["out"]).alias("out"),
+            ),
+        )["out"]
+
+    starts = lambda blocks: F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), heads(blocks).alias("head")), inside))
+    return _bound(pairs, lambda p: _bound(cut(p), starts))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: a lambda's argument is not inlined."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _tile(tiles: Column, i: Column) -> Column:
+    return F.coalesce(F.get(tiles, i), F.lit(""))
+
+
+def _before(tiles: Column, at: Column) -> Column:
+    """The ``NEAR`` characters before a place, or fewer at the text's start."""
+    i = F.floor(at / TILE).cast("int")
+    held = F.concat(_tile(tiles, i - 1), _tile(tiles, i))
+    first = F.greatest(i - 1, F.lit(0)) * TILE
+    return F.substr(held, F.greatest(at - NEAR, F.lit(0)) - first + 1, F.least(at, F.lit(NEAR)))
+
+
+def _after(tiles: Column, at: Column) -> Column:
+    i = F.floor(at / TILE).cast("int")
+    return F.substr(F.concat(_tile(tiles, i), _tile(tiles, i + 1)), at - i * TILE + 1, F.lit(NEAR))
+
+
+def _found(kind: str, text: Column, tiles: Column) -> Column:
     """Confirmed spans of one kind, or an empty array; code points, end exclusive."""
     between = F.split(text, PATTERNS[kind], -1)
     match = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     empty = F.array().cast(SPANS)
     pairs = F.arrays_zip(F.slice(between, 1, F.size(match)).alias("gap"), match.alias("match"))
-    start = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,text:string>>").alias("out")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["gap"]) + F.length(p["match"])).alias("at"),
-            F.when(_valid(kind, p["match"]), F.concat(a["out"], F.array(F.struct((a["at"] + F.length(p["gap"])).alias("start"), p["match"].alias("text"))))).otherwise(a["out"]).alias("out"),
-        ),
-    )["out"]
+    start = _confirmed(kind, pairs)
 
     def span(s):
         end = s["start"] + F.length(s["text"])
-        near = F.concat_ws(
-            " ",
-            F.substr(text, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR))),
-            F.substr(text, end + 1, F.lit(NEAR)),
-        )
+        near = F.concat_ws(" ", _before(tiles, s["start"]), _after(tiles, end))
         gain = F.when(near.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"),
@@ -142,7 +192,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    kinds = given.select("doc_id", *(_found(k, F.col("text")).alias(k) for k in KINDS))
+    tiles = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{TILE}}}"), F.lit(0))
+    given = given.select("doc_id", "text", F.explode(F.array(tiles)).alias("tiles"))  # computed once a row
+    kinds = given.select("doc_id", *(_found(k, F.col("text"), F.col("tiles")).alias(k) for k in KINDS))
     order = lambda a, b: F.when((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["at"] < b["at"])), -1).otherwise(1)
     spans = F.array_sort(F.concat(*(F.col(k) for k in KINDS)), order)
     return kinds.select("doc_id", spans.alias("spans"))

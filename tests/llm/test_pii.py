@@ -82,3 +82,15 @@ def test_no_rows_and_repeated_rows(spark):
     assert find_pii(docs).where("false").count() == 0 and find_pii(docs.limit(0)).collect() == []
     rows = find_pii(docs).select("doc_id", F.size("spans").alias("n")).collect()
     assert sorted((r.doc_id or 0, r.n) for r in rows) == [(0, 0), (1, 1), (1, 1), (1, 1)]
+
+
+def test_many_matches_in_one_text(spark):
+    """Starts and contexts stay right far behind the text's start, and in linear time."""
+    parts = [f"{'é🙂'[: i % 3]}u{i}@b.co" if i % 3 else f"ssn {i % 90 + 100}-12-3456" for i in range(100_000)]
+    text = " ".join(parts)
+    [row] = find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(row.spans) == 100_000
+    kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}"}
+    want = sorted((m.start(), m.end(), k) for k, p in kinds.items() for m in re.finditer(p, text))
+    assert [(s.start, s.end, s.kind) for s in row.spans] == want
+    assert all(s.score == pytest.approx(0.6) for s in row.spans if s.kind == "ssn")
