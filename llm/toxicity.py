@@ -15,19 +15,27 @@ speaks for the toxic class and that of what speaks against it. Their weights are
 for a text in a language that few toxic texts are in has much against it in every word.
 
 *Rare words and pairs.* Words that make up less than 1 / WORDS of a class are one unknown
-word in the bigrams, pairs below 1 / PAIRS back off there. Their own counts are all kept, in
-tables on shared storage that grow with the labelled texts, and correct the evidence: with
-r the toxic share of all rare words (of all rare pairs where the word is not rare),
+word in the bigrams, pairs below 1 / PAIRS back off there. Those that toxic texts have, once
+included, keep their counts in both classes, in tables on shared storage that grow with the
+labelled texts, and correct the evidence: with r the toxic share of all rare words (of all
+rare pairs where the word is not rare),
 
     s(w)   = (n_toxic(w) + PSEUDO * r) / (n(w) + PSEUDO)           r if w is not rare
     s(v w) = (n_toxic(v w) + PSEUDO * s(w)) / (n(v w) + PSEUDO)
 
-adds logit s(v w) - logit r. So a rare expression counts as often as it was met, once
-included, in a corpus of any size.
+adds logit s(v w) - logit r. All that no toxic text has shares one estimate, by which a word
+the ordinary class alone was seen to use and one never seen back off alike: the toxic
+class is expected to use such expressions as often as it was seen to use one for the first
+time (once in all), the ordinary class as often as it did,
 
-*Scale.* Tasks hold 2 * WORDS words and 2 * PAIRS pairs at most, and a filter of
-``FILTER_BITS`` bits that knows what was surely never met. Other rare words and pairs are
-asked from the tables, each once for a chunk of about ``CHUNK_BYTES`` of text.
+    s = once / (once + n_ordinary)      of words without n_toxic, or of pairs; r at most
+
+(what toxic texts have not used does not speak for them). A pair without n_toxic whose rare
+word has its own count is judged by that word.
+
+*Scale.* Tasks hold 2 * WORDS words and 2 * PAIRS pairs at most, and a filter of at most
+``FILTER_BITS`` bits that knows what is surely not in the tables. Other rare words and pairs
+are asked from them, each once for a chunk of about ``CHUNK_BYTES`` of text.
 """
 
 from __future__ import annotations
@@ -48,8 +56,10 @@ WORDS = 1 << 16
 PAIRS = 1 << 17
 #: Occurrences that the share of all rare words weighs as many as.
 PSEUDO = 10.0
-FILTER_BITS = 1 << 26
-CHUNK_BYTES = 8 << 20
+#: A filter has ``KEY_BITS`` bits a key or more, up to this many.
+FILTER_BITS = 1 << 28
+KEY_BITS = 16
+CHUNK_BYTES = 32 << 20
 DISCOUNT = 0.75
 #: Discounts of single words, toxic and ordinary: a word met a few times in the smaller
 #: class says nothing about it.
@@ -78,13 +88,15 @@ class Model:
 
 @dataclass
 class Rare:
-    """Counts of all rare words and pairs (key, toxic, ordinary), their toxic shares, and
-    a filter of the keys."""
+    """Counts of the rare words and pairs of toxic texts (key, toxic, ordinary), a filter
+    of the keys, the toxic shares of all rare words and pairs, and those of the rare words
+    and pairs that no toxic text has."""
 
     words: DataFrame
     pairs: DataFrame
-    shares: tuple[float, float]
     bits: np.ndarray
+    shares: tuple[float, float]
+    unmet: tuple[float, float]
 
 
 def _word_ids(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -166,21 +178,28 @@ def _frequent(counts: DataFrame, totals, most: int) -> DataFrame:
     return counts.where((F.col("toxic") >= toxic) | (F.col("ordinary") >= ordinary))
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """A bit for every key, at the key modulo the number of bits."""
-    place = F.shiftright(F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)), 6).alias("place")
+def _filter(*tables: DataFrame) -> np.ndarray:
+    """A bit for every key, at the key modulo the number of bits (a power of two)."""
+    n = sum(x.count() for x in tables)
+    size = min(FILTER_BITS, 1 << max(10, (KEY_BITS * n).bit_length()))
+    out = np.zeros(size // 64, dtype=np.uint64)
+    place = F.shiftright(F.col("key").bitwiseAND(F.lit(size - 1)), 6).alias("place")
     bit = F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit")
-    found = keys.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-    out[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    for keys in tables:
+        found = keys.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+        out[found.column("place").to_numpy()] |= found.column("bits").to_numpy().view(np.uint64)
     return out
 
 
 def _may_be(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = (keys & np.uint64(FILTER_BITS - 1)) >> np.uint64(6)
+    place = (keys & np.uint64(64 * len(bits) - 1)) >> np.uint64(6)
     return (bits[place] >> (keys & np.uint64(63))) & np.uint64(1) > 0
 
 
+def _share(toxic: float, ordinary: float) -> float:
+    return (toxic + 1) / (toxic + ordinary + 2)
+
+
 def fit(texts: DataFrame) -> tuple[Model, Rare] | None:
     """Model of all rows of ``texts`` (``text``, ``toxic``); None unless both classes
     have words."""
@@ -227,7 +246,8 @@ def fit(texts: DataFrame) -> tuple[Model, Rare] | None:
         pair.append(high)
         rest.append(np.maximum(1 - used, 1e-9))
     model = Model(vocabulary, *single, *rest, keys, *pair)
-    rare_words = land(singles.join(F.broadcast(frequent.select("key")), "key", "left_anti"), "rare_words")
+    rare_words = singles.join(F.broadcast(frequent.select("key")), "key", "left_anti").where("toxic > 0")
+    rare_words = land(rare_words, "rare_words")
     drop(singles)
     shared_model = spark.sparkContext.broadcast(model)
 
@@ -235,13 +255,26 @@ def fit(texts: DataFrame) -> tuple[Model, Rare] | None:
         row, rare, _, _ = _coarse(shared_model.value, block)
         return row[rare], _raw_pairs(block)[1][rare]
 
-    rare_pairs = land(_counted(texts, rare_keys), "rare_pairs")
-    shares = []
-    for table in (rare_words, rare_pairs):
-        toxic, ordinary = (x or 0 for x in table.agg(F.sum("toxic"), F.sum("ordinary")).first())
-        shares.append((toxic + 1) / (toxic + ordinary + 2))
-    bits = _filter(rare_words.select("key").union(rare_pairs.select("key")))
-    return model, Rare(rare_words, rare_pairs, tuple(shares), bits)
+    met = land(_counted(texts.where("toxic > 0"), rare_keys).select("key", "toxic"), "met")
+    shared_bits = spark.sparkContext.broadcast(_filter(met))
+
+    def met_keys(block):
+        row, key = rare_keys(block)
+        asked = _may_be(shared_bits.value, key)
+        return row[asked], key[asked]
+
+    opposite = _counted(texts.where("toxic <= 0"), met_keys).select("key", "ordinary")
+    rare_pairs = met.join(opposite, "key", "left").select("key", "toxic", F.coalesce("ordinary", F.lit(0)).alias("ordinary"))
+    rare_pairs = land(rare_pairs, "rare_pairs")
+    drop(met)
+    modelled = (keys % (v + 2) < v) & (keys // (v + 2) != v)
+    shares, unmet = [], []
+    for table, own in ((rare_words, [float(x[:v].sum()) for x in n]), (rare_pairs, kept.loc[modelled, ["toxic", "ordinary"]].sum().to_list())):
+        toxic, ordinary = (total - x for total, x in zip(totals, own, strict=True))
+        once, seen = table.agg(F.count_if(F.col("toxic") == 1), F.sum("ordinary")).first()
+        shares.append(_share(toxic, ordinary))
+        unmet.append(min(_share(once, ordinary - (seen or 0)), shares[-1]))
+    return model, Rare(rare_words, rare_pairs, _filter(rare_words, rare_pairs), tuple(shares), tuple(unmet))
 
 
 def _coarse(model: Model, block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -257,12 +290,25 @@ def _coarse(model: Model, block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return row, ~hit | (right == unknown) | (left == unknown), right == unknown, np.log(toxic) - np.log(ordinary)
 
 
-def correction(shares: tuple[float, float], rare: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """What the counts of rare words and pairs (toxic, ordinary) add to the log ratio."""
-    base = np.where(rare, *shares)
-    own = np.where(rare, (word[:, 0] + PSEUDO * base) / (word.sum(axis=1) + PSEUDO), base)
+def _logit(x):
+    return np.log(x) - np.log1p(-np.asarray(x))
+
+
+def correction(judged: tuple, is_rare: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """What the counts of rare words and pairs (toxic, ordinary) add to the log ratio.
+
+    ``judged`` has the toxic shares of all rare words and pairs, then those of the unmet;
+    counts without toxic ones are unmet.
+    """
+    shares, unmet = judged
+    base = np.where(is_rare, *shares)
+    own = np.where(is_rare, (word[:, 0] + PSEUDO * base) / (word.sum(axis=1) + PSEUDO), base)
     both = (pair[:, 0] + PSEUDO * own) / (pair.sum(axis=1) + PSEUDO)
-    return np.log(both / (1 - both)) - np.log(base / (1 - base))
+    unknown_word, unknown_pair = is_rare & (word[:, 0] == 0), pair[:, 0] == 0
+    out = _logit(both) - _logit(base)
+    out[unknown_pair & ~is_rare] = _logit(unmet[1]) - _logit(shares[1])
+    out[unknown_word & unknown_pair] = _logit(unmet[0]) - _logit(shares[0])
+    return out
 
 
 def _add(total: np.ndarray, row: np.ndarray, ratio: np.ndarray) -> None:
@@ -297,15 +343,19 @@ def _chunk(texts: list, unsettled: list) -> pa.RecordBatch:
 
 def _opener(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, bits = shared.value
+        model, bits, shares = shared.value
         texts, unsettled, rows, size = [], [], 0, 0
         for batch in batches:
             for block in blocks(batch.column(1)):
                 row, tail, rare, ratio = _coarse(model, block)
                 word, pair = _raw_pairs(block)
-                tail &= _may_be(bits, pair) | (rare & _may_be(bits, word))  # else it was never met
+                asked = tail & (_may_be(bits, pair) | (rare & _may_be(bits, word)))
+                unmet = tail & ~asked
+                none = np.zeros((int(unmet.sum()), 2))
+                ratio[unmet] += correction(shares, rare[unmet], none, none)
                 total = np.zeros((block.rows, 2))
-                _add(total, row[~tail], ratio[~tail])
+                _add(total, row[~asked], ratio[~asked])
+                tail = asked
                 carried = batch.column(0).slice(block.first, block.rows).cast(pa.int64())
                 texts.append((carried, total, np.bincount(row, minlength=block.rows)))
                 unsettled.append((row[tail] + rows, ratio[tail], rare[tail], word[tail], pair[tail]))
@@ -323,7 +373,7 @@ def _opener(shared):
 MEASURED = "carried long, speaks_for double, speaks_against double, n_words long"
 
 
-def _closer(shares: tuple[float, float]):
+def _closer(shares: tuple[tuple[float, float], tuple[float, float]]):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         key = answers.column("key").to_numpy()
         is_pair = answers.column("is_pair").to_numpy()
@@ -349,7 +399,8 @@ def _closer(shares: tuple[float, float]):
 
 def _measured(docs: DataFrame, model: Model, rare: Rare, carried: str) -> DataFrame:
     """``docs`` (one column and ``text``) with the mean evidence in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, rare.bits))
+    shares = (rare.shares, rare.unmet)
+    shared = docs.sparkSession.sparkContext.broadcast((model, rare.bits, shares))
     kind = ", ".join(["chunk long", *(f"{x} array<{t}>" for x, t in CHUNK.items())])
     chunks = land(docs.mapInArrow(_opener(shared), kind), "chunks")
     found = None
@@ -357,7 +408,7 @@ def _measured(docs: DataFrame, model: Model, rare: Rare, carried: str) -> DataFr
         asked = chunks.select(F.col("chunk").alias("of"), F.explode(name).alias("key")).join(table, "key")
         asked = asked.select("of", "key", F.lit(name == "pairs").alias("is_pair"), "toxic", "ordinary")
         found = asked if found is None else found.union(asked)
-    closed = chunks.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_closer(rare.shares), MEASURED)
+    closed = chunks.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_closer(shares), MEASURED)
     out = land(closed, "measured")
     drop(chunks)
     return out.withColumn("carried", F.col("carried").cast(carried)).withColumnRenamed("carried", docs.columns[0])
@@ -388,17 +439,10 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``doc_id, score, predicted, n_words`` for every row of ``docs``.
-
-    ``labels`` (id and label, 1 for toxic) are the rows to learn from, already without
-    the held-out ones. Labels of one id are joined to the highest; rows with a null id or
-    label teach nothing. ``score`` (0 to 1) grows with the evidence alone; texts that are
-    null or without words have no evidence and score as such. Repeated rows score alike.
-    Without words of both classes every score is the share of toxic labels (0 without
-    labels). Other columns do not matter.
-    """
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, carried) -> DataFrame:
+    """``key, score, predicted, n_words``: a row for every row of ``docs``, with the long
+    column ``carried`` of it as its key."""
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carried.alias("key"))
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
     marks = land(marks.dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "marks")
     n, share = marks.agg(F.count(F.lit(1)), F.avg("toxic")).first()
@@ -406,17 +450,30 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     taught = given.join(small_if(marks), "doc_id").select("text", "toxic", apart.alias("apart"))
     fitted = fit(taught.where("not apart").select("text", "toxic"))
     if fitted is None:
-        scored = given.select("doc_id", F.lit(float(share or 0)).alias("score"), F.lit(0).cast("long").alias("n_words"))
+        scored = given.select("key", F.lit(float(share or 0)).alias("score"), F.lit(0).cast("long").alias("n_words"))
     else:
         sample = _measured(taught.where("apart").select(F.col("toxic"), "text"), *fitted, "int").toPandas()
         y = sample["toxic"].to_numpy(dtype=float)
         x = sample[["speaks_for", "speaks_against"]].to_numpy()
         w = logistic(x, y)
         odds = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("speaks_for") + F.lit(float(w[2])) * F.col("speaks_against")
-        scored = _measured(given, *fitted, "long").select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"), "n_words")
+        scored = _measured(given.select("key", "text"), *fitted, "long").select("key", (1 / (1 + F.exp(-odds))).alias("score"), "n_words")
         drop(fitted[1].words, fitted[1].pairs)
     drop(marks)
-    return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words")
+    return scored.select("key", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words")
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """``doc_id, score, predicted, n_words`` for every row of ``docs``.
+
+    ``labels`` (id and label, 1 for toxic) are the rows to learn from, already without
+    the held-out ones. Labels of one id are joined to the highest; rows with a null id or
+    label teach nothing. ``score`` (0 to 1) grows with the evidence alone; texts that are
+    null or without words have no evidence and score as such. Repeated rows score alike,
+    very long texts are taken whole. Without words of both classes every score is the
+    share of toxic labels (0 without labels). Other columns do not matter.
+    """
+    return _scored(docs, labels, id_col, text_col, label_col, F.col(id_col).cast("long")).withColumnRenamed("key", "doc_id")
 
 
 def fold(id_col: str, parts: int):
@@ -424,10 +481,14 @@ def fold(id_col: str, parts: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns.
 
-    Rows with a null id cannot be matched with their verdict and stay.
+    A verdict is that of an id and a text together: rows without an id are judged by their
+    text, and of rows that share an id each goes or stays for itself.
     """
-    scored = land(toxicity(docs, labels).where("predicted = 1").select("doc_id").distinct(), "toxic")
-    return docs.join(small_if(scored), "doc_id", "left_anti")
+    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    scored = _scored(docs, labels, id_col, text_col, label_col, row)
+    toxic = land(scored.where("predicted = 1").select("key").distinct(), "toxic")
+    judged = F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"))
+    return docs.join(small_if(toxic), judged == toxic["key"], "left_anti")

@@ -51,6 +51,16 @@ def test_toxic_texts_score_high(spark, speech):
     assert left.columns == docs.columns and left.where("doc_id is null").count() == 1
 
 
+def test_toxic_rows_are_told_apart_by_id_and_text(spark, speech):
+    bad, good = next(t for i, t, b in speech if b and i > 450), next(t for i, t, b in speech if not b and i > 450)
+    odd = [(None, bad), (None, good), (700, bad), (700, good), (701, bad), (701, bad), (702, " ".join([good] * 3000)), (703, " ".join([bad] * 3000))]
+    rows = [(i, t, "k") for i, t, _ in speech if i < 450] + [(i, t, "odd") for i, t in odd]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")  # a name the operator uses itself
+    labels = spark.createDataFrame([(i, int(b)) for i, _, b in speech if i < 450], "doc_id long, toxic int")
+    left = without_toxic(docs, labels).where("key = 'odd'").collect()
+    assert sorted((r.doc_id or -1, len(r.text)) for r in left) == sorted([(-1, len(good)), (700, len(good)), (702, len(odd[6][1]))])
+
+
 def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, monkeypatch):
     split = lambda t: re.findall(r"[a-z]+", (t or "").lower())
     pairs_of = lambda t: list(zip([None, *split(t)], split(t), strict=False))
@@ -68,12 +78,15 @@ def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, mon
     held = {w for w in single[0] + single[1] if any(s[w] >= max(2, s.total() / 4) for s in single)}
     got = {r["key"]: (r.toxic, r.ordinary) for r in rare.pairs.collect()}
     assert len(model.vocabulary) == len(held) and not len(model.pairs)
-    assert sorted(got.values()) == sorted((double[0][p], double[1][p]) for p in double[0] + double[1])
-    assert rare.words.count() == len(single[0] + single[1]) - len(held)
-    shares = []
-    for a, b in ([sum(s[w] for w in s if w not in held) for s in single], [s.total() for s in double]):
-        shares.append((a + 1) / (a + b + 2))
-    assert rare.shares == pytest.approx(shares)
+    assert sorted(got.values()) == sorted((n, double[1][p]) for p, n in double[0].items())
+    rare_words = [{w: n for w, n in s.items() if w not in held} for s in single]
+    assert rare.words.count() == len(rare_words[0])
+    shares, unmet = [], []
+    for a, b in (rare_words, double):
+        shares.append((sum(a.values()) + 1) / (sum(a.values()) + sum(b.values()) + 2))
+        once, others = sum(n == 1 for n in a.values()), sum(n for k, n in b.items() if k not in a)
+        unmet.append(min((once + 1) / (once + others + 2), shares[-1]))
+    assert rare.shares == pytest.approx(shares) and rare.unmet == pytest.approx(unmet)
     logit = lambda q: math.log(q / (1 - q))
     rows = {r.i: r for r in tox._measured(docs, model, rare, "long").collect()}
     assert len(rows) == len(asked)
@@ -81,10 +94,14 @@ def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, mon
         block = next(blocks(pa.array([text or ""])))
         want = float(tox._coarse(model, block)[3].sum())
         for v, w in pairs_of(text):
-            base = own = shares[0] if w not in held else shares[1]
-            if w not in held:
+            kind = 0 if w not in held else 1
+            base = own = shares[kind]
+            if not kind and not single[0][w] or kind and not double[0][v, w]:
+                want += logit(unmet[kind]) - logit(base)
+                continue
+            if not kind:
                 own = (single[0][w] + tox.PSEUDO * base) / (single[0][w] + single[1][w] + tox.PSEUDO)
-            n = double[0][v, w], double[1][v, w]
+            n = (double[0][v, w], double[1][v, w]) if double[0][v, w] else (0, 0)
             want += logit((n[0] + tox.PSEUDO * own) / (sum(n) + tox.PSEUDO)) - logit(base)
         assert rows[i].n_words == len(split(text))
         assert (rows[i].speaks_for + rows[i].speaks_against) * max(len(split(text)), 1) == pytest.approx(want, abs=1e-4)
