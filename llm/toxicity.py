@@ -33,14 +33,16 @@ time (once in all), the ordinary class as often as it did,
 (what toxic texts have not used does not speak for them). A pair without n_toxic whose rare
 word has its own count is judged by that word.
 
-*Scale.* Tasks hold 2 * WORDS words and 2 * PAIRS pairs at most, and a filter of at most
-``FILTER_BITS`` bits that knows what is surely not in the tables. Other rare words and pairs
-are asked from them, each once for a chunk of about ``CHUNK_BYTES`` of text.
+*Scale.* Tasks hold 2 * WORDS words and 2 * PAIRS pairs at most, the counts of what makes up
+1 / HEAD of a table, so at most HEAD of its rows, and a filter of at most ``FILTER_BITS``
+bits that knows what is surely not in the tables. All other rare words and pairs are asked
+from them, each once for a chunk of about ``CHUNK_BYTES`` of text.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,7 +61,10 @@ PSEUDO = 10.0
 #: A filter has ``KEY_BITS`` bits a key or more, up to this many.
 FILTER_BITS = 1 << 28
 KEY_BITS = 16
-CHUNK_BYTES = 32 << 20
+HEAD = 1 << 22
+#: Answers that are packed at a time.
+ANSWERS = 1 << 20
+CHUNK_BYTES = 16 << 20
 DISCOUNT = 0.75
 #: Discounts of single words, toxic and ordinary: a word met a few times in the smaller
 #: class says nothing about it.
@@ -86,14 +91,33 @@ class Model:
     pair_ordinary: np.ndarray
 
 
+@dataclass
+class Head:
+    """Sorted keys and their counts (toxic, ordinary)."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its counts, 0 if it is not."""
+        counts = np.zeros((len(keys), 2))
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), counts
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = self.keys[at] == keys
+        counts[there] = self.counts[at[there]]
+        return there, counts
+
+
 @dataclass
 class Rare:
-    """Counts of the rare words and pairs of toxic texts (key, toxic, ordinary), a filter
-    of the keys, the toxic shares of all rare words and pairs, and those of the rare words
-    and pairs that no toxic text has."""
+    """Counts of the rare words and pairs of toxic texts (key, toxic, ordinary), the rows
+    of either that hold most, a filter of the keys, the toxic shares of all rare words and
+    pairs, and those of the rare words and pairs that no toxic text has."""
 
     words: DataFrame
     pairs: DataFrame
+    heads: tuple[Head, Head]
     bits: np.ndarray
     shares: tuple[float, float]
     unmet: tuple[float, float]
@@ -191,6 +215,16 @@ def _filter(*tables: DataFrame) -> np.ndarray:
     return out
 
 
+def _head(table: DataFrame) -> Head:
+    """The rows that hold 1 / ``HEAD`` of the table's counts; at most ``HEAD`` of them."""
+    n = F.col("toxic") + F.col("ordinary")
+    total = table.agg(F.sum(n)).first()[0] or 0
+    rows = table.where(n >= total / HEAD).toArrow()
+    keys = rows.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Head(keys[order], np.stack([rows.column(c).to_numpy()[order] for c in ("toxic", "ordinary")], axis=1).astype(np.float32))
+
+
 def _may_be(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     place = (keys & np.uint64(64 * len(bits) - 1)) >> np.uint64(6)
     return (bits[place] >> (keys & np.uint64(63))) & np.uint64(1) > 0
@@ -274,7 +308,8 @@ def fit(texts: DataFrame) -> tuple[Model, Rare] | None:
         once, seen = table.agg(F.count_if(F.col("toxic") == 1), F.sum("ordinary")).first()
         shares.append(_share(toxic, ordinary))
         unmet.append(min(_share(once, ordinary - (seen or 0)), shares[-1]))
-    return model, Rare(rare_words, rare_pairs, _filter(rare_words, rare_pairs), tuple(shares), tuple(unmet))
+    heads = (_head(rare_words), _head(rare_pairs))
+    return model, Rare(rare_words, rare_pairs, heads, _filter(rare_words, rare_pairs), tuple(shares), tuple(unmet))
 
 
 def _coarse(model: Model, block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -316,49 +351,66 @@ def _add(total: np.ndarray, row: np.ndarray, ratio: np.ndarray) -> None:
     total[:, 1] += np.bincount(row, weights=np.minimum(ratio, 0), minlength=len(total))
 
 
-CHUNK = {
-    "carried": "long", "x": "double", "y": "double", "n": "long", "row": "int", "ratio": "float", "word": "int",
-    "pair": "int", "words": "long", "pairs": "long",
+#: The first are packed, as they are of no use but for the end.
+PACKED = {
+    "carried": np.int64, "x": np.float64, "y": np.float64, "n": np.int64, "row": np.int32, "ratio": np.float32,
+    "word": np.int32, "pair": np.int32,
 }
+CHUNK = "chunk long, size array<long>, held binary, words array<long>, pairs array<long>"
 
 
 def _chunk(texts: list, unsettled: list) -> pa.RecordBatch:
-    """One row of lists: the texts with their sums, and what depends on the tables."""
+    """One row: the texts with their sums, and what depends on the tables."""
     carried = pa.concat_arrays([x[0] for x in texts])
+    null = carried.is_null().to_numpy(zero_copy_only=False)
     total, n = (np.concatenate([x[i] for x in texts]) for i in (1, 2))
     row, ratio, rare, word, pair = (np.concatenate(x) for x in zip(*unsettled, strict=True))
     own_words, at = np.unique(word[rare], return_inverse=True)
     code = np.full(len(word), -1)
     code[rare] = at
     own_pairs, of_pair = np.unique(pair, return_inverse=True)
-    lists = [
-        carried, total[:, 0], total[:, 1], n, row.astype(np.int32), ratio.astype(np.float32), code.astype(np.int32),
-        of_pair.astype(np.int32), own_words.view(np.int64), own_pairs.view(np.int64),
-    ]
+    row = np.diff(row, prepend=0)  # small numbers, as rows come in order
+    parts = (carried.fill_null(0).to_numpy(), total[:, 0], total[:, 1], n, row, ratio, code, of_pair)
+    held = b"".join([x.astype(t).tobytes() for x, t in zip(parts, PACKED.values(), strict=True)] + [np.packbits(null).tobytes()])
     chunk = int.from_bytes(os.urandom(8), "little", signed=True)
-    lists = [x if isinstance(x, pa.Array) else pa.array(x) for x in lists]
-    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-    return pa.RecordBatch.from_arrays([pa.array([chunk]), *lists], names=["chunk", *CHUNK])
+    lists = [np.array([len(null), len(row), len(own_words), len(own_pairs)]), own_words.view(np.int64), own_pairs.view(np.int64)]
+    size, own_words, own_pairs = (pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in lists)
+    held = pa.array([zlib.compress(held, 1)], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([chunk]), size, held, own_words, own_pairs], names=["chunk", "size", "held", "words", "pairs"])
+
+
+def _unpacked(n_texts: int, n_tail: int, held: bytes) -> dict[str, np.ndarray]:
+    data, at, out = zlib.decompress(held), 0, {}
+    for i, (name, kind) in enumerate(PACKED.items()):
+        out[name] = np.frombuffer(data, dtype=kind, count=n_tail if i > 3 else n_texts, offset=at)
+        at += out[name].nbytes
+    out["null"] = np.unpackbits(np.frombuffer(data, dtype=np.uint8, offset=at), count=n_texts).astype(bool)
+    out["row"] = np.cumsum(out["row"], dtype=np.int64)
+    return out
 
 
 def _opener(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, bits, shares = shared.value
+        model, bits, heads, shares = shared.value
         texts, unsettled, rows, size = [], [], 0, 0
         for batch in batches:
             for block in blocks(batch.column(1)):
                 row, tail, rare, ratio = _coarse(model, block)
                 word, pair = _raw_pairs(block)
-                asked = tail & (_may_be(bits, pair) | (rare & _may_be(bits, word)))
-                unmet = tail & ~asked
-                none = np.zeros((int(unmet.sum()), 2))
-                ratio[unmet] += correction(shares, rare[unmet], none, none)
+                at = np.flatnonzero(tail)
+                there, of_word = heads[0].find(word[at])
+                of_word[~rare[at]] = 0
+                answered = ~rare[at] | there | ~_may_be(bits, word[at])
+                there, of_pair = heads[1].find(pair[at])
+                answered &= there | ~_may_be(bits, pair[at])
+                ratio[at[answered]] += correction(shares, rare[at[answered]], of_word[answered], of_pair[answered])
+                asked = np.zeros(len(row), dtype=bool)
+                asked[at[~answered]] = True
                 total = np.zeros((block.rows, 2))
                 _add(total, row[~asked], ratio[~asked])
-                tail = asked
                 carried = batch.column(0).slice(block.first, block.rows).cast(pa.int64())
                 texts.append((carried, total, np.bincount(row, minlength=block.rows)))
-                unsettled.append((row[tail] + rows, ratio[tail], rare[tail], word[tail], pair[tail]))
+                unsettled.append((row[asked] + rows, ratio[asked], rare[asked], word[asked], pair[asked]))
                 rows += block.rows
                 size += len(block.data) + block.rows
                 if size >= CHUNK_BYTES:
@@ -370,29 +422,51 @@ def _opener(shared):
     return run
 
 
+#: Place of a pair among a chunk's questions, or the complement of a word's, and its counts.
+ANSWER = np.dtype([("at", np.int32), ("toxic", np.int64), ("ordinary", np.int64)])
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers (of, at, toxic, ordinary) in one text of bytes for each chunk they are of."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= ANSWERS:
+            yield _packed_answers(held)
+            held, n = [], 0
+    if n:
+        yield _packed_answers(held)
+
+
+def _packed_answers(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    of, at, toxic, ordinary = (np.concatenate([x.column(k).to_numpy() for x in held]) for k in range(4))
+    order = np.argsort(of, kind="stable")
+    rows = np.empty(len(order), dtype=ANSWER)
+    rows["at"], rows["toxic"], rows["ordinary"] = at[order], toxic[order], ordinary[order]
+    chunks, begin = np.unique(of[order], return_index=True)
+    parts = [zlib.compress(x.tobytes(), 1) for x in np.split(rows, begin[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(chunks), pa.array(parts, pa.binary())], names=["of", "found"])
+
+
 MEASURED = "carried long, speaks_for double, speaks_against double, n_words long"
 
 
 def _closer(shares: tuple[tuple[float, float], tuple[float, float]]):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        key = answers.column("key").to_numpy()
-        is_pair = answers.column("is_pair").to_numpy()
-        count = np.stack([answers.column(c).to_numpy() for c in ("toxic", "ordinary")], axis=1).astype(float)
-        c = {x: chunks.column(x)[0].values for x in CHUNK}  # a chunk is one row
-        found = []
-        for name, own in (("words", ~is_pair), ("pairs", is_pair)):
-            asked = c[name].to_numpy()
-            of = np.zeros((len(asked) + 1, 2))  # the last is for words that are not rare
-            order = np.argsort(asked)
-            of[order[np.searchsorted(asked, key[own], sorter=order)]] = count[own]
-            found.append(of)
-        word = c["word"].to_numpy()
-        extra = correction(shares, word >= 0, found[0][word], found[1][c["pair"].to_numpy()])
-        total = np.stack([c["x"].to_numpy(), c["y"].to_numpy()], axis=1)
-        _add(total, c["row"].to_numpy(), c["ratio"].to_numpy() + extra)
-        n = c["n"].to_numpy()
+        chunk = {x: chunks.column(x)[0] for x in chunks.column_names}  # a chunk is one row
+        n_texts, n_tail, n_words, n_pairs = chunk["size"].values.to_numpy()
+        c = _unpacked(n_texts, n_tail, chunk["held"].as_py())
+        answer = np.concatenate([np.frombuffer(zlib.decompress(x), dtype=ANSWER) for x in answers.column("found").to_pylist()] or [np.zeros(0, ANSWER)])
+        of_words, of_pairs = np.zeros((n_words + 1, 2)), np.zeros((n_pairs + 1, 2))  # the last is for words that are not rare
+        for of, own, at in ((of_words, answer["at"] < 0, ~answer["at"]), (of_pairs, answer["at"] >= 0, answer["at"])):
+            of[at[own]] = np.stack([answer["toxic"][own], answer["ordinary"][own]], axis=1)
+        word, n = c["word"], c["n"]
+        extra = correction(shares, word >= 0, of_words[word], of_pairs[c["pair"]])
+        total = np.stack([c["x"], c["y"]], axis=1)
+        _add(total, c["row"], c["ratio"] + extra)
         mean = total / np.maximum(n, 1)[:, None]
-        return pa.table([c["carried"], pa.array(mean[:, 0]), pa.array(mean[:, 1]), pa.array(n)], names=[x.split()[0] for x in MEASURED.split(", ")])
+        return pa.table([pa.array(c["carried"], mask=c["null"]), pa.array(mean[:, 0]), pa.array(mean[:, 1]), pa.array(n)], names=[x.split()[0] for x in MEASURED.split(", ")])
 
     return run
 
@@ -400,15 +474,17 @@ def _closer(shares: tuple[tuple[float, float], tuple[float, float]]):
 def _measured(docs: DataFrame, model: Model, rare: Rare, carried: str) -> DataFrame:
     """``docs`` (one column and ``text``) with the mean evidence in place of the text."""
     shares = (rare.shares, rare.unmet)
-    shared = docs.sparkSession.sparkContext.broadcast((model, rare.bits, shares))
-    kind = ", ".join(["chunk long", *(f"{x} array<{t}>" for x, t in CHUNK.items())])
-    chunks = land(docs.mapInArrow(_opener(shared), kind), "chunks")
+    shared = docs.sparkSession.sparkContext.broadcast((model, rare.bits, rare.heads, shares))
+    chunks = land(docs.mapInArrow(_opener(shared), CHUNK), "chunks")
     found = None
     for name, table in (("words", rare.words), ("pairs", rare.pairs)):
-        asked = chunks.select(F.col("chunk").alias("of"), F.explode(name).alias("key")).join(table, "key")
-        asked = asked.select("of", "key", F.lit(name == "pairs").alias("is_pair"), "toxic", "ordinary")
+        asked = chunks.select(F.col("chunk").alias("of"), F.posexplode(name).alias("at", "key")).join(table, "key")
+        at = F.bitwise_not("at") if name == "words" else F.col("at")
+        asked = asked.select("of", at.alias("at"), "toxic", "ordinary")
         found = asked if found is None else found.union(asked)
-    closed = chunks.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_closer(shares), MEASURED)
+    found = found.mapInArrow(_answers, "of long, found binary")
+    texts = chunks.select("chunk", "size", "held")
+    closed = texts.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_closer(shares), MEASURED)
     out = land(closed, "measured")
     drop(chunks)
     return out.withColumn("carried", F.col("carried").cast(carried)).withColumnRenamed("carried", docs.columns[0])

@@ -61,7 +61,8 @@ def test_toxic_rows_are_told_apart_by_id_and_text(spark, speech):
     assert sorted((r.doc_id or -1, len(r.text)) for r in left) == sorted([(-1, len(good)), (700, len(good)), (702, len(odd[6][1]))])
 
 
-def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, monkeypatch):
+@pytest.mark.parametrize("head", [1, 40, 1 << 20])  # nothing, a part and all of the tables
+def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, monkeypatch, head):
     split = lambda t: re.findall(r"[a-z]+", (t or "").lower())
     pairs_of = lambda t: list(zip([None, *split(t)], split(t), strict=False))
     taught = [(t + (" vile rot" if i in (6, 12) else " once" if i == 18 else ""), int(bad)) for i, t, bad in speech[:80]]
@@ -70,6 +71,7 @@ def test_rare_words_and_pairs_count_however_little_tasks_hold(spark, speech, mon
     docs = spark.createDataFrame(list(enumerate(asked)), "i long, text string")
     monkeypatch.setattr(tox, "WORDS", 4)  # tasks hold a few words and no pair
     monkeypatch.setattr(tox, "PAIRS", 1)
+    monkeypatch.setattr(tox, "HEAD", head)
     model, rare = tox.fit(table)
     single, double = (Counter(), Counter()), (Counter(), Counter())
     for text, toxic in taught:
