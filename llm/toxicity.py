@@ -61,7 +61,7 @@ PSEUDO = 10.0
 #: A filter has ``KEY_BITS`` bits a key or more, up to this many.
 FILTER_BITS = 1 << 28
 KEY_BITS = 16
-HEAD = 1 << 22
+HEAD = 1 << 18
 #: Answers that are packed at a time.
 ANSWERS = 1 << 20
 CHUNK_BYTES = 16 << 20

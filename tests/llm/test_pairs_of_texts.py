@@ -153,7 +153,12 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert (None, 0) in rows and len(found & want) >= 0.9 * len(want) and not found - want
     assert find_leaks(table, benchmark.limit(0)).collect() == [] and find_leaks(table.limit(0), benchmark).collect() == []
     left = without_leaks(table, benchmark)
-    assert left.columns == table.columns and left.count() == table.count() - len({d for d, _ in found}) - 1
+    assert left.columns == table.columns and left.where("doc_id is null").count() == 0  # the copy without an id goes as well
+    assert left.count() == table.count() - len({d for d, _ in found}) - 2
+    leaked = min(d for d, _ in found)
+    shared = table.union(spark.createDataFrame([(leaked, "a clean text", "x"), (None, "another", "x")], table.schema))
+    kept = without_leaks(shared, benchmark).where(f"doc_id = {leaked} or doc_id is null").select("text")
+    assert sorted(r.text for r in kept.collect()) == ["a clean text", "another"]
 
 
 def test_partial_copies_and_changed_ends_are_found(spark):
