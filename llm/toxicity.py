@@ -61,7 +61,9 @@ PSEUDO = 10.0
 #: A filter has ``KEY_BITS`` bits a key or more, up to this many.
 FILTER_BITS = 1 << 28
 KEY_BITS = 16
-HEAD = 1 << 18
+HEAD = 1 << 22
+#: Keys that are summed at a time before they leave a task.
+HELD = 1 << 20
 #: Answers that are packed at a time.
 ANSWERS = 1 << 20
 CHUNK_BYTES = 16 << 20
@@ -164,7 +166,7 @@ def _counter(keys_of):
                 keys.append(key.astype(np.uint64))
                 marks.append(label[block.first + row] > 0)
                 held += len(key)
-                if held >= 4_000_000:
+                if held >= HELD:
                     yield _summed(keys, marks)
                     keys, marks, held = [], [], 0
         if held:
