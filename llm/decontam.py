@@ -11,8 +11,9 @@ which hold the whole of any copy. Texts are taken whole.
 *Index.* Passages are TF-IDF vectors over the terms of the benchmark, as no other term
 can add to a product with an item; document frequencies are those of all documents. A
 randomised SVD, its products with the passage matrix summed from partitions, gives
-``RANK`` latent dimensions. It is fitted on the items and the passages of about
-``SAMPLE_DOCS`` documents chosen by a hash; every passage of every document is indexed.
+``RANK`` latent dimensions. It is fitted on the items and on the runs of every document:
+what it needs of them is how much any two terms weigh together in a run, which one pass
+adds up. Every passage of every document is indexed.
 
 *Search and checks.* Items are the stated query set, taken ``ITEMS`` at a time. Passages
 whose latent cosine with an item is at least ``COSINE`` are candidates. A candidate is
@@ -38,8 +39,8 @@ from llm.text import PUNCTUATION, blocks, mix, word_hashes, words
 RUN = 16
 RANK = 128
 OVERSAMPLE = 16
-SAMPLE_DOCS = 2000
-SAMPLE_PARTS = 4
+#: Tasks that multiply the weights of pairs of terms; each returns a matrix of ``RANK``.
+PARTS = 4
 ITEMS = 256
 TERM_SHARE = 0.01
 RAREST = 8
@@ -98,14 +99,14 @@ def _runs(row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return lead, row[lead]
 
 
-def _passages(vectors: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over ``2 * size`` runs from every ``size``-th run of a row, and where each begins."""
+def _passages(total: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over ``2 * size`` runs from every ``size``-th run of a row, and where each begins;
+    ``total`` has the sums of all runs before each."""
     n = np.bincount(owner) if len(owner) else np.zeros(0, dtype=int)
     first = np.cumsum(n) - n
     place = np.arange(len(owner)) - first[owner]
     start = np.flatnonzero((place % size == 0) & ((place == 0) | (place + size < n[owner])))
     end = np.minimum(start + 2 * size, (first + n)[owner[start]])
-    total = np.concatenate([np.zeros((1, vectors.shape[1])), np.cumsum(vectors, axis=0, dtype=np.float64)])
     return start, total[end] - total[start]
 
 
@@ -189,43 +190,67 @@ def _document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarra
     return out[:-1], int(out[-1])
 
 
-def _products(sample: DataFrame, terms: np.ndarray, weight: np.ndarray, right: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """A^T (A right) for the unit passage vectors A of the sample, and of ``rows``."""
-    shared = sample.sparkSession.sparkContext.broadcast((terms, weight, right.astype(np.float32)))
+def _together(docs: DataFrame, terms: np.ndarray, weight: np.ndarray) -> DataFrame:
+    """The upper triangle of A^T A for the unit vectors A of the runs of all documents:
+    one row for any two terms that some run has."""
+    shared = docs.sparkSession.sparkContext.broadcast((terms, weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, idf, wide = shared.value
-        total = np.zeros((len(known), wide.shape[1]), dtype=np.float32)
+        known, idf = shared.value
+        n = len(known)
         for batch in batches:
             for block in blocks(batch.column(1)):
                 found = words(block, PUNCTUATION)
                 at = _places(known, word_hashes(block, found, lower=True))
                 lead, _ = _runs(found.row, block.rows)
-                run_of = np.zeros(len(at), dtype=np.int64)
-                run_of[lead] = 1
-                run_of = np.cumsum(run_of) - 1
-                keep = at < len(known)
-                cell, count = np.unique(run_of[keep] * len(known) + at[keep], return_counts=True)
-                r, t = cell // len(known), cell % len(known)
+                kept = np.flatnonzero(at < n)
+                if not len(kept):
+                    continue
+                run_of = np.searchsorted(lead, kept, side="right") - 1
+                cell, count = np.unique(run_of * n + at[kept], return_counts=True)
+                r, t = cell // n, cell % n
                 value = count * idf[t]
-                size = np.sqrt(np.bincount(r, weights=value**2, minlength=len(lead)))
-                value = (value / size[r]).astype(np.float32)
-                projected = np.zeros((len(lead), wide.shape[1]), dtype=np.float32)
-                np.add.at(projected, r, value[:, None] * wide[t])
-                np.add.at(total, t, value[:, None] * projected[r])
+                value = value / np.sqrt(np.bincount(r, weights=value**2))[r]
+                cells, values = [], []
+                for step in range(RUN):  # cells are sorted by run and term
+                    low = np.flatnonzero(r[: len(r) - step] == r[step:])
+                    cells.append(t[low] * n + t[low + step])
+                    values.append(value[low] * value[low + step])
+                    if not len(low):
+                        break
+                pair, place = np.unique(np.concatenate(cells), return_inverse=True)
+                total = np.bincount(place, weights=np.concatenate(values))
+                yield pa.RecordBatch.from_arrays([pa.array(pair // n), pa.array(pair % n), pa.array(total)], names=["low", "high", "value"])
+
+    return docs.mapInArrow(run, "low long, high long, value double").groupBy("low", "high").agg(F.sum("value").alias("value"))
+
+
+def _products(together: DataFrame, right: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """A^T (A right) for the vectors A of the runs and of ``rows``."""
+    shared = together.sparkSession.sparkContext.broadcast(right)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = shared.value
+        total = np.zeros_like(wide)
+        for batch in batches:
+            low, high, value = (c.to_numpy() for c in batch.columns)
+            for row, column, share in ((low, high, value), (high, low, np.where(low == high, 0.0, value))):
+                order = np.argsort(row, kind="stable")
+                head = np.flatnonzero(np.diff(row[order], prepend=-1))
+                if len(head):
+                    total[row[order[head]]] += np.add.reduceat(share[order, None] * wide[column[order]], head, axis=0)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-    parts = sample.coalesce(SAMPLE_PARTS).mapInArrow(run, "part binary").collect()  # SAMPLE_PARTS matrices at most
+    parts = together.coalesce(PARTS).mapInArrow(run, "part binary").collect()  # PARTS matrices at most
     total = rows.T @ (rows @ right)
     for x in parts:
-        total += np.frombuffer(x["part"], dtype=np.float32).reshape(total.shape)
+        total += np.frombuffer(x["part"], dtype=np.float64).reshape(total.shape)
     return total
 
 
-def _basis(docs: DataFrame, terms: np.ndarray, weight: np.ndarray, n_docs: int, items: list[Item]) -> np.ndarray:
+def _basis(docs: DataFrame, terms: np.ndarray, weight: np.ndarray, items: list[Item]) -> np.ndarray:
     """Right singular vectors by a randomised range and one power step."""
-    share = int(1e6 * min(1.0, SAMPLE_DOCS / max(n_docs, 1)))
-    sample = land(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share), "sample")
+    together = land(_together(docs, terms, weight), "together")
     rows = np.zeros((len(items), len(terms)))
     for i, item in enumerate(items):
         at = _places(terms, item.terms)
@@ -234,9 +259,9 @@ def _basis(docs: DataFrame, terms: np.ndarray, weight: np.ndarray, n_docs: int,
     width = min(RANK + OVERSAMPLE, len(terms))
     q = np.random.default_rng(0).standard_normal((len(terms), width))
     for _ in range(2):
-        q, _ = np.linalg.qr(_products(sample, terms, weight, q, rows))
-    values, vectors = np.linalg.eigh(q.T @ _products(sample, terms, weight, q, rows))
-    drop(sample)
+        q, _ = np.linalg.qr(_products(together, q, rows))
+    values, vectors = np.linalg.eigh(q.T @ _products(together, q, rows))
+    drop(together)
     return q @ vectors[:, ::-1][:, :RANK]
 
 
@@ -249,7 +274,7 @@ def build_index(docs: DataFrame, items: list[Item]) -> Index:
         chosen[own[np.argsort(frequency[own], kind="stable")[:RAREST]]] = True
     terms, frequency = terms[chosen], frequency[chosen]
     weight = np.log((n_docs + 1) / (frequency + 0.5)).clip(min=0.05) ** 2
-    basis = weight[:, None] * _basis(docs, terms, weight, n_docs, items)
+    basis = weight[:, None] * _basis(docs, terms, weight, items)
     basis = basis.astype(np.float32)
     classes: dict[int, tuple[list[Item], np.ndarray]] = {}
     for c in sorted({_class(len(x.terms)) for x in items}):
@@ -276,21 +301,23 @@ def _matches(index: Index, block) -> Iterator[tuple[int, Item, float, int, bool]
     if not len(head):
         return
     runs[run_of[head]] = np.add.reduceat(index.basis[at[known]], head, axis=0)
+    total = np.concatenate([np.zeros((1, runs.shape[1])), np.cumsum(runs, axis=0, dtype=np.float64)])
     stop = np.append(lead[1:], len(at))
+    ends = np.searchsorted(owner, owner, side="right") - 1  # the last run of the same row
     for c, (items, latent) in index.classes.items():
-        start, sums = _passages(runs, owner, 1 << c)
+        start, sums = _passages(total, owner, 1 << c)
         cosine = _unit(sums).astype(np.float32) @ latent.T
-        last = np.minimum(start + 2 * (1 << c), len(lead)) - 1
+        last = np.minimum(start + 2 * (1 << c) - 1, ends[start])
+        first_copy = np.searchsorted(copies, lead[start])
+        after_copies = np.searchsorted(copies, stop[last] - COPIED + 1)
         before = -1
         for p, k in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
             if p != before:  # candidates come passage by passage
-                before, end = p, last[p]
-                while owner[end] != owner[start[p]]:
-                    end -= 1
-                text = one[lead[start[p]] : stop[end]]
+                before = p
+                text = one[lead[start[p]] : stop[last[p]]]
                 listed = text.tolist()
                 had = set(listed)
-                low, high = np.searchsorted(copies, (lead[start[p]], stop[end] - COPIED + 1))
+                low, high = first_copy[p], after_copies[p]
             item = items[k]
             least = PARAPHRASE * len(item.terms)
             copied = low < high and bool(np.isin(grams[copies[low:high]], item.grams).any())

@@ -178,3 +178,27 @@ def test_partial_copies_and_changed_ends_are_found(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string")
     benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in find_leaks(table, benchmark).collect()} == want
+
+
+def test_the_basis_is_fitted_on_every_document(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "RANK", 3)
+    monkeypatch.setattr(decontam, "OVERSAMPLE", 100)
+    rng = np.random.default_rng(3)
+    names = [f"term{i}" for i in range(24)]
+    # 4,000 texts of one run, two terms each; which two is seen in the sum of all texts only
+    texts = [" ".join(rng.choice(names, 2, replace=False)) for _ in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    items = [
+        decontam.Item(k, t, t, False, decontam._grams(t), decontam._masks(t))
+        for k, t in enumerate(decontam._terms(" ".join(names[i : i + 8])) for i in (0, 8, 16))
+    ]
+    index = decontam.build_index(docs, items)
+    n = len(index.terms)
+    place = {name: int(np.searchsorted(index.terms, decontam._terms(name)[0])) for name in names}
+    frequency = np.bincount([place[w] for t in texts for w in t.split()], minlength=n)
+    weight = np.log((4001) / (frequency + 0.5)).clip(min=0.05) ** 2
+    unit = lambda at: (x := np.bincount(at, minlength=n) * weight) / np.linalg.norm(x)
+    rows = np.array([unit([place[w] for w in t.split()]) for t in texts] + [unit(decontam._places(index.terms, x.terms)) for x in items])
+    _, vectors = np.linalg.eigh(rows.T @ rows)
+    got, want = index.basis / weight[:, None], vectors[:, ::-1][:, :3]
+    assert np.allclose(got @ got.T, want @ want.T, atol=1e-3)
