@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcflow.functions.canonical import computed_once
 from cdcflow.functions.joins import splittable
@@ -195,30 +196,76 @@ def cascade_closure(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """As ``cascade``, for foreign keys that refer to their own table or form a circle.
 
-    In rounds: the keys that went in the last one take their children along, whatever is
-    gone already left out, until a round finds none. A round scans the key columns of a
-    table that has such a parent once, and writes the new keys. There are as many rounds
-    as the longest chain of rows has links.
+    Table by table, in turns: the keys of its parents that went since its last turn take its
+    rows along, whatever is gone already left out, until no table has such parents. A turn
+    scans the landed key columns of one table once and writes the new keys as a folder
+    of its own, so a plan does not grow with the turns. There are at most as many turns of a
+    table as the longest chain of rows has links.
     """
     specs = list(specs)
-    newest = {name: _landed(_parents(keys).distinct()) for name, keys in deleted.items()}
-    gone: dict[str, DataFrame] = {}
-    while newest:
-        for name, keys in newest.items():
-            gone[name] = gone[name].union(keys) if name in gone else keys
-        found = {}
-        for spec in specs:
-            hit = _hit(tables[spec.name], spec, newest)
-            if hit is not None:
-                if spec.name in gone:
-                    hit = hit.join(gone[spec.name], "_parent", "left_anti")
-                keys = _landed(hit.distinct())
-                if not keys.isEmpty():
-                    found[spec.name] = keys
-        newest = found
+    linked = [s for s in specs if any(fk.on_delete == CASCADE for fk in s.foreign_keys)]
+    links: dict[str, DataFrame] = {}
+    key_columns = {s.name: tables[s.name].select(s.key) for s in specs}
+    went = {name: _Went(keys, key_columns.get(name, keys)) for name, keys in deleted.items()}
+    for name, keys in deleted.items():
+        went[name].add(_parents(keys).distinct(), empty=True)
+    met = {s.name: {fk.parent: 0 for fk in s.foreign_keys if fk.on_delete == CASCADE} for s in linked}
+    moved = True
+    while moved:
+        moved = False
+        for spec in linked:
+            seen = met[spec.name]
+            newest = {p: went[p].since(seen[p]) for p in seen if p in went and len(went[p].folders) > seen[p]}
+            if not newest:
+                continue
+            seen.update({p: len(went[p].folders) for p in newest})
+            if spec.name not in links:
+                links[spec.name] = _links(tables[spec.name], spec)
+            hit = _hit(links[spec.name], spec, newest)
+            own = went.get(spec.name)
+            if own is None:
+                own = _Went(hit, hit)
+            else:
+                known = own.since(0).withColumnRenamed("_parent", "_known")
+                hit = hit.join(known, F.col("_parent").eqNullSafe(F.col("_known")), "left_anti")
+            if own.add(hit.distinct()):
+                went[spec.name] = own
+                moved = True
+    gone = {name: own.since(0) for name, own in went.items()}
     return _remaining(tables, specs, gone), _keys(gone)
 
 
+class _Went:
+    """Keys of one table that went, in a folder for each time some were found."""
+
+    def __init__(self, keys: DataFrame, others: DataFrame):
+        self.spark, self.root = keys.sparkSession, new_dir(keys.sparkSession, "gone")
+        both = keys.select(F.col(keys.columns[0])).union(others.select(F.col(others.columns[0])))
+        self.kind = both.schema[0].dataType
+        self.folders: list[str] = []
+
+    def add(self, keys: DataFrame, empty: bool = False) -> bool:
+        """Write the keys; whether there are any, or ``empty`` lets none count as some."""
+        folder = f"{self.root}/found={len(self.folders)}"
+        found = land_parquet(keys.select(F.col("_parent").cast(self.kind).alias("_parent")), folder)
+        if not empty and found.isEmpty():
+            return False
+        self.folders.append(folder)
+        return True
+
+    def since(self, n: int) -> DataFrame:
+        """The keys of all folders but the first ``n``."""
+        schema = T.StructType([T.StructField("_parent", self.kind)])
+        return self.spark.read.schema(schema).parquet(*self.folders[n:])
+
+
+def _links(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys of the rows that may go with a parent, with those of their parents, landed."""
+    columns = [fk.column for fk in spec.foreign_keys if fk.on_delete == CASCADE]
+    narrow = rows.select(*dict.fromkeys([spec.key, *columns]))
+    return _landed(narrow.dropna(how="all", subset=columns))
+
+
 def _landed(keys: DataFrame) -> DataFrame:
     """Keys in a table of their own: the plans that use them do not derive them again."""
     return land_parquet(keys, new_dir(keys.sparkSession, "gone"))

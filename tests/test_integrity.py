@@ -181,6 +181,15 @@ def test_deletes_run_through_chains_and_circles(spark):
     assert rows(left["b"]) == [(102, None)]
 
 
+def test_the_plan_of_a_closure_does_not_grow_with_its_chains(spark):
+    tree = TableSpec("tree", "id", (Field("id", LONG), Field("up", LONG)), (ForeignKey("up", "tree", CASCADE),))
+    links = spark.createDataFrame([(None, 11), *((i, i - 1) for i in range(2, 13))], "id bigint, up bigint")
+    left, gone = integrity.cascade_closure({"tree": links}, [tree], {"tree": spark.createDataFrame([(3,)], "id int")})
+    assert sorted(r[0] or 0 for r in gone["tree"].collect()) == [0, *range(3, 13)]
+    assert rows(left["tree"]) == [(2, 1)]
+    assert gone["tree"]._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_a_plan_of_the_graph_reads_a_table_once_a_use(spark):
     raw = files.land_parquet(views.raw_events(spark, "/root/testdata/sf0.001"), new_dir(spark, "raw"))
     tables = {n: files.land_parquet(t, new_dir(spark, n)) for n, t in feed_tables(raw).items()}
