@@ -394,7 +394,7 @@ def _mixed_names(spark, sf_dir) -> DataFrame:
         SHOP_WIDE,
     )
     name, number = F.col("table_name"), F.col("log_id")
-    return parsed.withColumn(
+    mixed = parsed.withColumn(
         "table_name",
         F.when(number % 41 == 0, F.lit(None))
         .when(number % 43 == 0, F.lit("REPO_OWNERSHIP"))
@@ -403,6 +403,8 @@ def _mixed_names(spark, sf_dir) -> DataFrame:
         .when(number % 3 == 1, F.initcap(name))
         .otherwise(name),
     )
+    # every route reads it: captured, sealed and parsed once
+    return files.land_parquet(mixed, new_dir(spark, "mixed"))
 
 
 @query

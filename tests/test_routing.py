@@ -1,3 +1,4 @@
+from cdcflow.checks.queries import QUERIES
 from cdcflow.operators import routing
 from cdcflow.specs import FEED_TABLES, load_order, wide_schema
 from pyspark.sql import types as T
@@ -64,3 +65,8 @@ def test_parents_load_before_children():
     names = [s.name for s in load_order(FEED_TABLES.values())]
     assert set(names[:3]) == {"users", "repos", "orgs"}
     assert set(names[3:]) == {"events", "repo_ownership"}
+
+
+def test_messages_are_parsed_once_for_all_routes(spark):
+    plan = QUERIES["route_by_table"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "from_json" not in plan
