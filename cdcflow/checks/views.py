@@ -64,9 +64,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint")
     )
-    customer = table(spark, sf_dir, "customer")
+    # these grow with the events: below Spark's threshold each would go through the driver
+    customer = table(spark, sf_dir, "customer").hint("merge")
     nation = table(spark, sf_dir, "nation")
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part").hint("merge")
     joined = (
         events.join(customer, F.col("user_id") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from cdcflow.checks.views import raw_events
 from cdcflow.operators import documents, entities
 from cdcflow.specs import RAW_EVENT_SCHEMA
 from pyspark.sql import functions as F
@@ -164,3 +165,8 @@ def test_hot_key_reaches_its_reducer_combined(spark):
     assert kept.filter("k = -1").first().v == "89997"
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_tables_that_grow_with_the_feed_are_not_broadcast(spark):
+    plan = raw_events(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") <= 1  # the nations
