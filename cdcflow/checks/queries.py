@@ -640,8 +640,8 @@ def stream_dedup(spark, sf_dir):
     for produced_at, rows in ((PRODUCED_AT, [log]), ("2024-06-02T00:00:00.000000", [again, late])):
         for batch in rows:
             sealed = envelope.seal_records(batch, ORDERS, produced_at)
-            topics.publish_topic(sealed.coalesce(2), "changes", "text", path=root)
-        source = topics.stream_change_topic(spark, "text", max_per_trigger=1, path=f"{root}/changes")
+            topics.publish_topic(sealed, "changes", "text", path=root)
+        source = topics.stream_change_topic(spark, "text", max_per_trigger=8, path=f"{root}/changes")
         once = sync.once_per_message(source).select(
             F.get_json_object("value", "$.message_id").alias("message_id"),
             F.get_json_object("value", "$.log_id").cast("bigint").alias("log_id"),

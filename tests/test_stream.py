@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from cdcflow.checks import views
+from cdcflow.checks import queries, views
 from cdcflow.operators.entities import feed_tables
 from cdcflow.operators.envelope import seal_records
 from cdcflow.plans.batch_load import batch_load, failed_loads
@@ -205,3 +205,13 @@ def test_jdbc_options():
         "url": "jdbc:x", "dbtable": "USERS", "user": "u", "partitionColumn": "user_id",
         "lowerBound": "0", "upperBound": "1000", "numPartitions": "16",
     }
+
+
+def test_messages_are_sealed_in_as_many_tasks_as_they_were_captured(spark, monkeypatch):
+    plans, publish = [], queries.topics.publish_topic
+    def seen(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return publish(df, *args, **options)
+    monkeypatch.setattr(queries.topics, "publish_topic", seen)
+    queries.QUERIES["stream_dedup"](spark, SF_DIR)
+    assert len(plans) == 3 and not any("Coalesce " in p for p in plans)
