@@ -215,3 +215,14 @@ def test_messages_are_sealed_in_as_many_tasks_as_they_were_captured(spark, monke
     monkeypatch.setattr(queries.topics, "publish_topic", seen)
     queries.QUERIES["stream_dedup"](spark, SF_DIR)
     assert len(plans) == 3 and not any("Coalesce " in p for p in plans)
+
+
+def test_the_round_trip_writes_a_table_once_however_many_files_a_topic_has(spark, monkeypatch):
+    roots, publish = set(), queries.topics.publish_topic
+    def dealt(df, *args, path, **options):
+        roots.add(path)
+        return publish(df.repartition(12), *args, path=path, **options)
+    monkeypatch.setattr(queries.topics, "publish_topic", dealt)
+    queries.QUERIES["stream_round_trip"](spark, SF_DIR)
+    for name, spec in queries.SHOP.items():
+        assert sync.stored_table(spark, f"{next(iter(roots))}/tables", spec, 16).manifest().version == 2
