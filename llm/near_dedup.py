@@ -16,10 +16,12 @@ byte of every bin; a pair at 0.75 is passed over with a probability below 1e-6.
 *Verification.* What is left is confirmed on the full sets. Identical sets are one class
 from the start. Buckets are cut into blocks of about ``BLOCK`` classes; a block proposes a
 spanning forest of its likeliest pairs, no more edges than classes. Components of the
-confirmed edges are then labels, and later rounds propose pairs across labels only, the
-last one all that are left, so a link is lost to no limit. From the second round on, the
+confirmed edges are then labels, and later rounds compare across labels only. In them the
 largest label of a bucket and its other classes are blocks of their own, and a task holds
-the tile of two blocks, so each pair of a bucket meets in one tile.
+the tile of two blocks, so each pair of a bucket meets in one tile. The last round confirms
+all pairs that are left, so a link is lost to no limit: the sets of a tile's classes that
+have such a pair go to the tile, and pairs are compared there and are never rows of a table.
+A pair that shares several buckets is compared in that of its first band.
 """
 
 from __future__ import annotations
@@ -38,11 +40,14 @@ from llm.text import blocks, mix, word_hashes, words
 SHINGLE = 5
 COORDINATES = 128
 WIDTH = 4
+BANDS = COORDINATES // WIDTH
 BLOCK = 256
-#: Pairs proposed for two labels of a block in each round; the last round has no limit.
-ROUNDS = (1, 8, None)
+#: Sets that one set is compared with at a time.
+MET = 64
 #: Bins whose bytes must agree for a pair to be checked: 0.75 less 5.3 deviations.
 LEAST_EQUAL = 70
+#: The same for the rounds before the last, whose pairs should be links.
+LIKELY_EQUAL = 90
 _EMPTY = np.uint64(2**64 - 1)
 _LOW = np.uint64(2**48 - 1)
 
@@ -104,12 +109,15 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in (0, 1):
                 np.add.at(digest[:, k], owner, mix(value, 1000 + k))
                 digest[:, k] = mix(digest[:, k] ^ n.astype(np.uint64), k)
-            bands = np.zeros((rows, COORDINATES // WIDTH), dtype=np.uint64)
-            for k in range(WIDTH):
-                bands = mix(bands ^ bins[:, k::WIDTH], k)
-            bands = mix(bands + np.arange(bands.shape[1], dtype=np.uint64))
+            low = bins.astype(np.uint8)
+            bands = np.zeros((rows, BANDS), dtype=np.uint64)
+            for k in range(WIDTH):  # of the bytes, so that two rows of bytes say which bands are shared
+                bands = mix(bands ^ low[:, k::WIDTH].astype(np.uint64), k)
+            band = np.arange(BANDS, dtype=np.uint64)
+            bands = mix(bands + band)
+            bands += band - bands % np.uint64(BANDS)
             node = [x.tobytes() if c else None for x, c in zip(digest, n, strict=True)]
-            sig = [x.tobytes() if c else None for x, c in zip(bins.astype(np.uint8), n, strict=True)]
+            sig = [x.tobytes() if c else None for x, c in zip(low, n, strict=True)]
             flat = pa.array(bands.view(np.int64).reshape(-1))
             edges = np.arange(rows + 1, dtype=np.int32) * bands.shape[1]
             yield pa.RecordBatch.from_arrays(
@@ -143,53 +151,100 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _proposer(limit: int | None):
-    """Proposes pairs of nodes of the same (bucket, block) with different labels, and of
-    different sides unless side is 2.
+def _pairs(table: pa.Table, least: int, first_band: bool) -> tuple[np.ndarray, ...]:
+    """Pairs of rows of the same (bucket, block) with different labels, and of different
+    sides unless side is 2: the block of each, its rows, their labels, and how many bytes agree.
 
     Rows come sorted by bucket, block and side; columns: bucket, block, node, label, sig, side.
+    With ``first_band`` a pair is one of the bucket of the first band that it shares only.
     """
+    bucket = table.column("bucket").to_numpy()
+    block = table.column("block").to_numpy()
+    n = len(bucket)
+    new = np.ones(n, dtype=bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])
+    group = np.cumsum(new) - 1
+    label = np.unique(np.array(table.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(n, -1)
+    side = table.column("side").to_numpy()
+    band = (bucket.view(np.uint64) % np.uint64(BANDS)).astype(np.int64)
+    size = np.bincount(group)
+    last = (np.cumsum(size) - 1)[group]
+    left, right, equal = [], [], []
+    at = np.arange(n)
+    for step in range(1, int(size.max(initial=1))):
+        at = at[at + step <= last[at]]
+        other = at + step
+        take = (label[at] != label[other]) & ((side[at] != side[other]) | (side[at] == 2))
+        i, j = at[take], other[take]
+        alike = sig[i] == sig[j]
+        same = alike.sum(axis=1, dtype=np.int32)
+        good = same >= least
+        if first_band:
+            good[good] = alike[good].reshape(-1, BANDS, WIDTH).all(axis=2).argmax(axis=1) == band[i[good]]
+        left.append(i[good])
+        right.append(j[good])
+        equal.append(same[good])
+    i, j, e = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right, equal))
+    la, lb = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+    order = np.lexsort((-e, lb, la, group[i]))
+    return tuple(x[order] for x in (group[i], i, j, la, lb, e))
+
+
+def _edges(table: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    nodes = table.column("node")
+    a, b = nodes.take(pa.array(i)).to_pylist(), nodes.take(pa.array(j)).to_pylist()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(map(max, a, b), pa.binary()), pa.array(map(min, a, b), pa.binary())], names=["a", "b"]
+    )
 
-    def pairs(table: pa.Table) -> pa.RecordBatch:
-        bucket = table.column("bucket").to_numpy()
-        block = table.column("block").to_numpy()
-        n = len(bucket)
-        new = np.ones(n, dtype=bool)
-        new[1:] = (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])
-        group = np.cumsum(new) - 1
-        nodes = table.column("node").to_pylist()
-        label = np.unique(np.array(table.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(n, -1)
-        side = table.column("side").to_numpy()
-        size = np.bincount(group)
-        last = (np.cumsum(size) - 1)[group]
-        left, right, equal = [], [], []
-        at = np.arange(n)
-        for step in range(1, int(size.max(initial=1))):
-            at = at[at + step <= last[at]]
-            other = at + step
-            take = (label[at] != label[other]) & ((side[at] != side[other]) | (side[at] == 2))
-            i, j = at[take], other[take]
-            same = (sig[i] == sig[j]).sum(axis=1, dtype=np.int32)
-            good = same >= LEAST_EQUAL
-            left.append(i[good])
-            right.append(j[good])
-            equal.append(same[good])
-        i, j, e = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right, equal))
-        la, lb = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
-        order = np.lexsort((-e, lb, la, group[i]))
-        i, j, la, lb, e, g = (x[order] for x in (i, j, la, lb, e, group[i]))
-        head = np.ones(len(i), dtype=bool)
-        head[1:] = (g[1:] != g[:-1]) | (la[1:] != la[:-1]) | (lb[1:] != lb[:-1])
-        begin = np.flatnonzero(head)
-        rank = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i))))
-        keep = rank < limit if limit else np.ones(len(i), dtype=bool)
-        if limit == 1:
+
+def _proposer(limit: int | None):
+    """Proposes a spanning forest of the likely pairs of each block, or without a limit all
+    pairs that may be links."""
+
+    def propose(table: pa.Table) -> list[pa.RecordBatch]:
+        g, i, j, la, lb, e = _pairs(table, LIKELY_EQUAL if limit else LEAST_EQUAL, False)
+        keep = np.ones(len(i), dtype=bool)
+        if limit:
+            keep[1:] = (g[1:] != g[:-1]) | (la[1:] != la[:-1]) | (lb[1:] != lb[:-1])
             keep = _forest(g, la, lb, e, keep)
-        a, b = [nodes[k] for k in i[keep]], [nodes[k] for k in j[keep]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(map(max, a, b), pa.binary()), pa.array(map(min, a, b), pa.binary())], names=["a", "b"]
-        )
+        return [_edges(table, i[keep], j[keep])]
+
+    return _by_block(propose)
+
+
+def _ask(table: pa.Table) -> list[pa.RecordBatch]:
+    """The rows that have a pair to be confirmed."""
+    _, i, j, *_ = _pairs(table, LEAST_EQUAL, True)
+    return table.take(pa.array(np.union1d(i, j))).combine_chunks().to_batches() if len(i) else []
+
+
+def _confirm(table: pa.Table) -> list[pa.RecordBatch]:
+    """A spanning forest of the links of each tile; rows have their sets, in order, as well."""
+    g, i, j, la, lb, e = _pairs(table, LEAST_EQUAL, True)
+    listed = table.column("shingles").combine_chunks()
+    edges = listed.offsets.to_numpy()
+    flat = listed.values.to_numpy().view(np.uint64)
+    size = np.diff(edges).astype(np.int64)
+    linked = 100 * np.minimum(size[i], size[j]) >= 75 * np.maximum(size[i], size[j])
+    open_ = np.flatnonzero(linked)
+    open_ = open_[np.argsort(i[open_], kind="stable")]
+    for part in np.split(open_, np.flatnonzero(np.diff(i[open_])) + 1):
+        if len(part):
+            own, others = flat[edges[i[part[0]]] : edges[i[part[0]] + 1]], j[part]
+            for k in range(0, len(part), MET):
+                those = others[k : k + MET]
+                theirs = np.concatenate([flat[edges[x] : edges[x + 1]] for x in those])
+                there = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                common = np.add.reduceat(there, np.cumsum(size[those]) - size[those], dtype=np.int64)
+                linked[part[k : k + MET]] = 100 * common >= 75 * (len(own) + size[those] - common)
+    keep = _forest(g, la, lb, e, linked)
+    return [_edges(table, i[keep], j[keep])]
+
+
+def _by_block(solve):
+    """``solve`` for the whole blocks among the rows so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -203,10 +258,10 @@ def _proposer(limit: int | None):
             same = (bucket.to_numpy() == bucket[n - 1].as_py()) & (block.to_numpy() == block[n - 1].as_py())
             cut = int(np.argmax(same))
             if cut:
-                yield pairs(held.slice(0, cut))
+                yield from solve(held.slice(0, cut))
                 held = held.slice(cut)
         if held is not None and held.num_rows:
-            yield pairs(held)
+            yield from solve(held)
 
     return run
 
@@ -254,19 +309,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "sets"
     )
     roots = None
-    for k, limit in enumerate(ROUNDS):
-        proposed = land(_labelled(members, roots, k == 0).mapInArrow(_proposer(limit), "a binary, b binary").distinct(), "proposed")
-        if not proposed.count():
-            drop(proposed)
-            if k == 0 and members.where("n_blocks > 1").head(1):
-                continue  # the blocks of a bucket have not met yet
-            break
-        confirmed = land(_confirmed(proposed, sets), "links")
-        if roots is None:
-            roots = components(confirmed)
-        elif confirmed.head(1):  # else the components stay as they are
+    for k, links in enumerate((_proposed_links, _proposed_links, _all_links)):
+        if k == 1 and not members.where("n_blocks > 1").head(1):
+            continue  # all classes of a bucket have met
+        confirmed = land(links(_labelled(members, roots, k == 0), sets), "links")
+        if confirmed.head(1):  # else the components stay as they are
             # their stars stand for the links of earlier rounds: as connected, and short
-            roots = components(confirmed.union(roots.select("node", "root")))
+            roots = components(confirmed if roots is None else confirmed.union(roots.select("node", "root")))
     named = classes.select("node", "rep")
     if roots is None:
         named = named.select("node", F.col("rep").alias("component_id"))
@@ -313,9 +362,24 @@ def _labelled(members: DataFrame, roots: DataFrame | None, first: bool) -> DataF
         )
         rows = known.join(open_, "bucket")
         rows = _tiles(rows)
+    return _by_tile(rows)
+
+
+def _by_tile(rows: DataFrame) -> DataFrame:
     return rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "side", "node")
 
 
+def _proposed_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among likely pairs, no more of them than a block has classes."""
+    return _confirmed(land(rows.mapInArrow(_proposer(1), "a binary, b binary").distinct(), "proposed"), sets)
+
+
+def _all_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect whatever the pairs of the tiles link."""
+    asked = land(rows.mapInArrow(_by_block(_ask), rows.schema), "asked")
+    return _by_tile(asked.join(sets, "node")).mapInArrow(_by_block(_confirm), "a binary, b binary").distinct()
+
+
 def _tiles(rows: DataFrame) -> DataFrame:
     """Rows (``bucket, node, label, sig, main, n_main, n_apart``) in every tile of two blocks
     that they belong to: ``block`` names the tile, ``side`` 0 or 1 the block in it.

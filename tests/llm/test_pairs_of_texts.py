@@ -82,6 +82,22 @@ def test_links_across_blocks_only(spark, monkeypatch):
     assert {r.component_id for r in rows} == {1}
 
 
+def test_a_common_passage_makes_no_pairs_of_rows(spark, monkeypatch):
+    sets_of, made = near_dedup._confirmed, []
+
+    def confirmed(proposed, sets):
+        made.append(proposed.count())
+        return sets_of(proposed, sets)
+
+    monkeypatch.setattr(near_dedup, "_confirmed", confirmed)
+    passage = " ".join(f"p{i}" for i in range(90))  # a similarity of 86 / 146, so no links
+    texts = [f"{passage} " + " ".join(f"o{k}-{i}" for i in range(30)) for k in range(60)]
+    texts += [f"{t} end" for t in texts[:5]]
+    rows = near_duplicates(spark.createDataFrame([(i, t, "n", "l") for i, t in enumerate(texts)], KIND)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute_components(texts)[0]
+    assert sum(made) < 4 * len(texts)  # of 1,830 pairs that are similar
+
+
 def test_null_and_repeated_ids(spark):
     same = "a b c d e f g h"
     docs = spark.createDataFrame([(None, same, "n", "l"), (3, same, "n", "l"), (3, same, "n", "l"), (5, same, "n", "l"), (None, "alone here", "n", "l"), (6, None, "n", "l")], KIND)
