@@ -66,6 +66,16 @@ def test_equals_counting_every_string(spark, classes, alphabet):
     assert sum(row[2] > 0 for row in expected) > 20
 
 
+def test_marks_of_many_classes_are_not_sent_to_every_task(spark):
+    wide = "text_key binary, bucket long, context long, at int"
+    places = spark.createDataFrame([(b"t", 7, 7, 3)], wide)
+    for n, sent in ((100, True), (40_000, False)):
+        marks = spark.range(n).selectExpr("id bucket", "id context", "0L low", "2L high")
+        met = repeats._covered(places, marks, 400)
+        assert ("strategy=broadcast" in met._jdf.queryExecution().optimizedPlan().toString()) == sent
+        assert [(r.first, r.beyond) for r in met.collect()] == [(3, 405)]
+
+
 def test_two_stage_order_equals_sorting():
     rng = random.Random(5)
     for _ in range(200):
