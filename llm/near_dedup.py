@@ -310,9 +310,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     roots = None
     for k, links in enumerate((_proposed_links, _proposed_links, _all_links)):
-        if k == 1 and not members.where("n_blocks > 1").head(1):
-            continue  # all classes of a bucket have met
-        confirmed = land(links(_labelled(members, roots, k == 0), sets), "links")
+        met = members
+        if k == 1:
+            met = members.where("n_blocks > 1")  # all classes of the other buckets have met
+            if not met.head(1):
+                continue
+        confirmed = land(links(_labelled(met, roots, k == 0), sets), "links")
         if confirmed.head(1):  # else the components stay as they are
             # their stars stand for the links of earlier rounds: as connected, and short
             roots = components(confirmed if roots is None else confirmed.union(roots.select("node", "root")))
