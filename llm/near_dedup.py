@@ -18,7 +18,7 @@ from the start. Buckets are cut into blocks of about ``BLOCK`` classes; a block
 spanning forest of its likeliest pairs, no more edges than classes. Components of the
 confirmed edges are then labels, and later rounds compare across labels only. In them the
 largest label of a bucket and its other classes are blocks of their own, and a task holds
-the tile of two blocks, so each pair of a bucket meets in one tile. The last round confirms
+the tile of two of them, so each pair of a bucket meets in one tile. The last round confirms
 all pairs that are left, so a link is lost to no limit: the sets of a tile's classes that
 have such a pair go to the tile, and pairs are compared there and are never rows of a table.
 A pair that shares several buckets is compared in that of its first band.
@@ -42,6 +42,8 @@ COORDINATES = 128
 WIDTH = 4
 BANDS = COORDINATES // WIDTH
 BLOCK = 256
+#: Blocks' worth of classes on each side of a tile.
+TILE = 2
 #: Sets that one set is compared with at a time.
 MET = 64
 #: Bins whose bytes must agree for a pair to be checked: 0.75 less 5.3 deviations.
@@ -385,21 +387,23 @@ def _all_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _tiles(rows: DataFrame) -> DataFrame:
     """Rows (``bucket, node, label, sig, main, n_main, n_apart``) in every tile of two blocks
-    that they belong to: ``block`` names the tile, ``side`` 0 or 1 the block in it.
+    that they belong to: ``block`` names the tile, ``side`` 0 or 1 the block in it, 2 the one
+    whose own pairs are compared there too.
 
-    The main label's classes are in ``ceil(n_main / BLOCK)`` blocks, the others in blocks
-    numbered on from there; no tile is of two blocks of the main label.
+    The main label's classes are in blocks of about ``TILE * BLOCK``, the others in blocks
+    numbered on from there; no tile is of two blocks of the main label, nor of one block
+    alone: the pairs inside a block are those of its tile with block 0.
     """
-    n_main, n_apart = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("n_main", "n_apart"))
+    n_main, n_apart = (F.ceil(F.col(c) / (TILE * BLOCK)).cast("long") for c in ("n_main", "n_apart"))
     is_main = F.col("label") == F.col("main")
     place = F.xxhash64("bucket", "node")
     own = F.when(is_main, F.pmod(place, n_main)).otherwise(n_main + F.pmod(place, n_apart))
     n = n_main + n_apart
-    # a class of the main label meets the blocks of the others only
-    others = F.when(is_main, F.sequence(n_main, n - 1)).otherwise(F.sequence(F.lit(0).cast("long"), n - 1))
+    # a class of the main label meets the blocks of the others only, each of them the main label's first at least
+    others = F.when(is_main, F.sequence(n_main, n - 1)).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), n - 1), lambda x: x != own))
     met = rows.withColumn("own", own).withColumn("n", n).withColumn("other", F.explode(others))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    side = F.when(low == high, 2).when(F.col("own") == low, 0).otherwise(1)
+    side = F.when(F.col("own") == low, 0).when(low == 0, 2).otherwise(1)
     return met.select("bucket", (low * F.col("n") + high).alias("block"), "node", "label", "sig", side.alias("side"))
 
 

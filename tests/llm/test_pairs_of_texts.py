@@ -218,3 +218,11 @@ def test_the_basis_is_fitted_on_every_document(spark, monkeypatch):
     _, vectors = np.linalg.eigh(rows.T @ rows)
     got, want = index.basis / weight[:, None], vectors[:, ::-1][:, :3]
     assert np.allclose(got @ got.T, want @ want.T, atol=1e-3)
+
+
+def test_rows_of_an_uncut_bucket_are_in_one_tile_once(spark):
+    rows = [(7, bytes([i]), b"main" if i < 30 else bytes([i]), bytes(128), b"main", 30, 10) for i in range(40)]
+    kind = "bucket long, node binary, label binary, sig binary, main binary, n_main long, n_apart long"
+    tiles = near_dedup._tiles(spark.createDataFrame(rows, kind)).collect()
+    assert len(tiles) == 40 and len({r.block for r in tiles}) == 1
+    assert {r.side for r in tiles if r.label == b"main"} == {0} and {r.side for r in tiles if r.label != b"main"} == {2}
