@@ -15,6 +15,10 @@ from llm.pretokens import LONGEST, Pieces, pieces
 from llm.text import blocks
 
 
+#: Bytes of text whose pieces are found and encoded at a time; their arrays take some 60 times that.
+ENCODED_BYTES = 1 << 18
+
+
 @cache
 def byte_symbols() -> dict[str, int]:
     """The printable character that a byte-level vocabulary writes for each byte."""
@@ -24,12 +28,12 @@ def byte_symbols() -> dict[str, int]:
     return table | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-@cache
 def description(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         return json.load(f)
 
 
+@cache
 def specials(path: str) -> tuple[str, ...]:
     return tuple(x["content"] for x in description(path)["added_tokens"])
 
@@ -173,7 +177,7 @@ class Encoder:
 
     def encode(self, column: pa.Array):
         """Per block of rows: the first row, ids one after the other, their number by row."""
-        for block in blocks(column):
+        for block in blocks(column, ENCODED_BYTES):
             if self.known.full():
                 self._forget()
             found = pieces(block, self.marks)

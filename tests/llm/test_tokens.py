@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -6,6 +7,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from llm.bpe import Encoder
 from llm.bpe import count_tokens as merged
 from llm.bpe import ranks, token_counts
 from llm.elias_fano import EliasFano
@@ -83,3 +85,15 @@ def test_elias_fano(values):
     code = EliasFano.load(EliasFano.of(np.array(values, dtype=np.uint64)).dump())
     assert code.all().tolist() == values
     assert [code.select(i) for i in range(0, len(values), 37)] == values[::37]
+
+
+def test_encoding_holds_the_arrays_of_a_small_part_of_a_batch():
+    encode = Encoder(TOKENIZER).encode
+    texts = pa.array(["a few plain words, 12 of them. " * 40] * 1700)  # 2 MB
+    assert sum(len(ids) for _, ids, _ in encode(texts.slice(0, 1)))
+    tracemalloc.start()
+    try:
+        assert sum(len(ids) for _, ids, _ in encode(texts)) == 613_700
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
