@@ -9,6 +9,7 @@ import pytest
 
 from llm import repeats
 from llm.queries import QUERIES, table
+from llm.text import rolling_hashes, span_hashes
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -115,3 +116,21 @@ def test_query(spark):
     wrong = [r.doc_id for r, e in zip(docs, expected) if found[r.doc_id] != (*e[:3], hashlib.sha256(e[3]).hexdigest())]
     assert wrong == []
     assert any(0 < e[1] < e[0] for e in expected)
+
+
+@pytest.mark.parametrize("width", [1, 5, 40, 400])
+def test_strings_are_compared_whole(width):
+    rng = np.random.default_rng(width)
+    data = np.tile(rng.integers(1, 4, 3 * width).astype(np.uint8), 3)
+    data[7 * width + width // 3] = 9  # one byte off, between those that are looked at first
+    a, b = rng.integers(0, len(data), (2, 3000))
+    a[:1000], b[:1000] = np.arange(1000) % (3 * width), np.arange(1000) % (3 * width) + 6 * width
+    want = [bytes(data[i : i + width]).ljust(width, b"\0") == bytes(data[j : j + width]).ljust(width, b"\0") for i, j in zip(a, b)]
+    assert repeats.equal_strings(data, a, b, width).tolist() == want
+
+
+def test_rolling_hashes_are_those_of_the_spans():
+    data = np.random.default_rng(1).integers(0, 256, 500).astype(np.uint8)
+    at = np.arange(500 - 300)
+    assert (rolling_hashes(data, 301) == span_hashes(data, at, at + 301)).all()
+    assert len(rolling_hashes(data, 501)) == 0
