@@ -25,27 +25,17 @@ def orgs_docs(orgs: DataFrame) -> DataFrame:
     return orgs.withColumnRenamed("org_id", "_id")
 
 
-def repo_docs(raw: DataFrame, position: bool = False) -> DataFrame:
+def repo_docs(raw: DataFrame, position: bool = False, latest: bool = False) -> DataFrame:
     """One document per fork event, with the owner first seen for that target.
 
     A target in several events gives several documents with one ``_id``; they
     are folded when the collection is loaded. ``position`` adds where the event stands.
+    ``latest`` folds them as ``latest_documents`` does, before they meet their owners: a
+    target has one owner, so only one row of each is joined.
     """
     target = [value.alias(name) for name, value in fork_target().items()]
     forks = raw.select(*target, *event_order()).filter(F.col("repo_id").isNotNull())
-    owners = keep_first(
-        raw.filter(F.col("payload.forkee.id").isNotNull()).select(
-            F.col("payload.forkee.id").alias("fork_id"),
-            *event_order(),
-            F.col("payload.forkee.owner.id").alias("id"),
-            F.col("payload.forkee.owner.login").alias("login"),
-            F.col("payload.forkee.owner.type").alias("type"),
-        ),
-        ["fork_id"],
-        EVENT_POSITION,
-    ).select("fork_id", F.struct("id", "login", "type").alias("owner"))
-    owners = splittable(owners.filter(F.col("owner.id").isNotNull()), "fork_id")
-    return forks.join(owners, forks.repo_id == owners.fork_id).select(
+    docs = forks.select(
         F.col("repo_id").alias("_id"),
         "name",
         "full_name",
@@ -60,9 +50,25 @@ def repo_docs(raw: DataFrame, position: bool = False) -> DataFrame:
             "stats"
         ),
         F.struct("created_at", "updated_at", "pushed_at").alias("dates"),
-        "owner",
-        *(EVENT_POSITION if position else []),
+        *EVENT_POSITION,
     )
+    if latest:
+        docs = keep_last(docs, ["_id"], EVENT_POSITION)
+    owners = keep_first(
+        raw.filter(F.col("payload.forkee.id").isNotNull()).select(
+            F.col("payload.forkee.id").alias("fork_id"),
+            *event_order(),
+            F.col("payload.forkee.owner.id").alias("id"),
+            F.col("payload.forkee.owner.login").alias("login"),
+            F.col("payload.forkee.owner.type").alias("type"),
+        ),
+        ["fork_id"],
+        EVENT_POSITION,
+    ).select("fork_id", F.struct("id", "login", "type").alias("owner"))
+    owners = splittable(owners.filter(F.col("owner.id").isNotNull()), "fork_id")
+    joined = docs.join(owners, docs["_id"] == owners.fork_id)
+    values = [c for c in docs.columns if c not in EVENT_POSITION]
+    return joined.select(*values, "owner", *(EVENT_POSITION if position else []))
 
 
 def event_docs(raw: DataFrame, position: bool = False) -> DataFrame:

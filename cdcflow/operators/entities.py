@@ -31,6 +31,12 @@ def event_order() -> list[Column]:
     ]
 
 
+def feed_times(raw: DataFrame) -> DataFrame:
+    """Events with their time parsed, which ``parse_feed_time`` then leaves as it is: a
+    feed that is read for many outputs has it parsed once."""
+    return raw.withColumn("created_at", parse_feed_time(F.col("created_at")))
+
+
 def _candidate(spec: TableSpec, source: int, values: dict[str, Column]) -> Column:
     """Struct with every column of the table; columns not given are typed NULLs."""
     return F.struct(

@@ -107,12 +107,16 @@ LEAF_BITS, LEVEL_BITS = 12, 4
 def _row_hash(df: DataFrame, salt: int) -> Column:
     """Hash of a row; what is NULL counts, also inside of nested values, as a hash alone
     skips NULLs."""
-    nested = (T.StructType, T.ArrayType, T.MapType)
-    values = [
-        F.to_json(F.col(f.name), {"ignoreNullFields": "false"}) if isinstance(f.dataType, nested) else F.col(f.name)
-        for f in df.schema
-    ]
-    return F.xxhash64(F.lit(salt), *[F.col(c).isNull() for c in df.columns], *values)
+    return F.xxhash64(F.lit(salt), *[x for f in df.schema for x in _hashed(F.col(f.name), f.dataType)])
+
+
+def _hashed(value: Column, kind: T.DataType) -> list[Column]:
+    """What a hash takes of a value: whether it is NULL and the value, or its fields'."""
+    if isinstance(kind, T.StructType):
+        return [value.isNull(), *[x for f in kind for x in _hashed(value.getField(f.name), f.dataType)]]
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return [value.isNull(), F.to_json(value, {"ignoreNullFields": "false"})]
+    return [value.isNull(), value]
 
 
 def _leaf(df: DataFrame, bits: int) -> Column:

@@ -12,7 +12,7 @@ from cdcflow.operators.documents import (
     repo_docs,
     users_docs,
 )
-from cdcflow.operators.entities import feed_tables
+from cdcflow.operators.entities import feed_tables, feed_times
 from cdcflow.sources.files import land_parquet, scan_nested_json
 from cdcflow.sources.logs import bootstrap_cutover
 from cdcflow.sources.sinks import (
@@ -34,14 +34,14 @@ def batch_load(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Load a feed into tables, then collections; report what was written.
 
-    The feed is landed as Parquet once: the outputs and their checks then read only
-    the nested columns they need. Users and organisations are folded once, for their
+    The feed is landed as Parquet once, event times parsed: the outputs and their checks
+    then read only the nested columns they need. Users and organisations are folded once, for their
     tables; their collections come from what was stored. Of several events that give
     one document the last one counts. Every output is digested while it is written, so its
     check is one scan of what was stored. Returns the report, one row per output, and the
     cursors past ``logs``.
     """
-    raw = land_parquet(scan_nested_json(spark, feed_path), f"{root}/raw")
+    raw = land_parquet(feed_times(scan_nested_json(spark, feed_path)), f"{root}/raw")
     specs = list(FEED_TABLES.values())
     tables = feed_tables(raw, fork_type)
     bootstrap_tables(spark, specs, f"{root}/tables")
@@ -52,7 +52,7 @@ def batch_load(
     documents = {
         "users": users_docs(loaded["users"]),
         "orgs": orgs_docs(loaded["orgs"]),
-        "repos": latest_documents(repo_docs(raw, position=True)),
+        "repos": repo_docs(raw, latest=True),
         "events": latest_documents(event_docs(raw, position=True)),
     }
     store = observing(table_sink(f"{root}/collections"), seen_documents)

@@ -170,3 +170,42 @@ def test_hot_key_reaches_its_reducer_combined(spark):
 def test_tables_that_grow_with_the_feed_are_not_broadcast(spark):
     plan = raw_events(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastExchange") <= 1  # the nations
+
+
+def test_a_feed_with_its_times_parsed_gives_the_same(raw):
+    owner = {"id": 9, "login": "o", "type": "User"}
+    times = ["2024-01-02T00:00:00Z", "0001-01-01T00:00:00Z", "9999-12-31T23:59:59Z", "bad", "", None, "2024-01-01T00:00:00Z"]
+    feed = raw(*[
+        event(str(i % 5), at=at, actor=person(i % 3, f"a{i}"), repo=person(i % 2), org=person(1, f"o{i}"), fork=fork(70 + i % 2, owner))
+        for i, at in enumerate(times)
+    ])
+    parsed = entities.feed_times(feed)
+    assert parsed.schema["created_at"].dataType.simpleString() == "timestamp"
+    texts = lambda df: sorted(r[0] for r in df.select(F.to_json(F.struct("*"))).collect())
+    for build in (entities.feed_tables, documents.feed_documents):
+        for name, rows in build(feed).items():
+            same = build(parsed)[name]
+            assert same.schema == rows.schema
+            assert texts(same) == texts(rows), name
+
+
+def test_repositories_are_folded_before_they_meet_their_owners(raw):
+    first, other = {"id": 1, "login": "a", "type": "User"}, {"id": 2, "login": "b", "type": "User"}
+    forks = [
+        ("1", "2024-01-02T00:00:00Z", fork(7, other)),
+        ("2", "2024-01-01T00:00:00Z", fork(7, first)),
+        ("3", "2024-01-03T00:00:00Z", fork(7, None) | {"name": "last"}),
+        ("3", "2024-01-03T00:00:00Z", fork(7, None) | {"name": "last", "size": 8}),
+        ("4", None, fork(8, None)),
+        ("5", "bad", fork(9, other)),
+        (None, None, fork(9, other) | {"name": "unplaced"}),
+        ("6", "2024-01-01T00:00:00Z", fork(None, other)),
+    ]
+    feed = raw(*[event(id, at=at, fork=target) for id, at, target in forks])
+    latest = documents.repo_docs(feed, latest=True)
+    wanted = documents.latest_documents(documents.repo_docs(feed, position=True))
+    assert latest.dtypes == wanted.dtypes
+    assert sorted(map(str, latest.collect())) == sorted(map(str, wanted.collect()))
+    assert sorted((r["_id"], r["name"], r.stats.size, r.owner.id) for r in latest.collect()) == [(7, "last", 8, 1), (9, "fork9", 7, 2)]
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("max(struct")

@@ -220,6 +220,17 @@ def test_only_rows_of_differing_leaves_are_compared(spark):
 
 
 
+def test_digests_tell_nested_values_apart(spark):
+    nested = [
+        "named_struct('t', TIMESTAMP '2024-01-01 00:00:00.000001')", "named_struct('t', TIMESTAMP '2024-01-01 00:00:00.000002')",
+        "named_struct('t', CAST(NULL AS TIMESTAMP))", "CAST(NULL AS STRUCT<t: TIMESTAMP>)",
+        "named_struct('a', named_struct('x', 1, 'y', CAST(NULL AS INT)))", "named_struct('a', named_struct('x', CAST(NULL AS INT), 'y', 1))",
+        "array(1, NULL)", "array(NULL, 1)",
+    ]
+    digests = {tuple(d.agg(*reconcile.row_digests(d)).first()) for d in (spark.sql(f"SELECT 1 AS id, {v} AS v") for v in nested)}
+    assert len(digests) == len(nested)
+
+
 def test_equal_counts_of_different_rows_do_not_pass(spark):
     a = spark.createDataFrame([(1, None), (2, "x"), (2, "x")], "k int, v string")
     b = spark.createDataFrame([(1, None), (2, "x"), (3, "x")], "k int, v string")
